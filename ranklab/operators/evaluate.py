@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ranklab.compat import STANDARD, Compat
 from ranklab.functions import text as tx
@@ -76,11 +76,15 @@ def topics_with_hits(metrics: DataFrame) -> DataFrame:
     return metrics.where(F.col("n_rel") > 0)
 
 
-def select_metric(metrics: DataFrame, name: str, by: Sequence[str] = ("query_id",)) -> DataFrame:
-    """(by..., value) of `P`, `R` or `MAP`; any other name gives 0 for every topic."""
+def metric_column(name: str) -> Column:
+    """`P`, `R` or `MAP`; any other name gives 0 for every topic."""
     column = {"P": "p", "R": "r", "MAP": "ap"}.get(name)
-    value = F.col(column) if column else F.lit(0.0)
-    return metrics.select(*by, value.alias("value"))
+    return F.col(column) if column else F.lit(0.0)
+
+
+def select_metric(metrics: DataFrame, name: str, by: Sequence[str] = ("query_id",)) -> DataFrame:
+    """(by..., value) of the metric with that name."""
+    return metrics.select(*by, metric_column(name).alias("value"))
 
 
 def mean_metrics(metrics: DataFrame, n_topics: DataFrame, compat: Compat = STANDARD) -> DataFrame:

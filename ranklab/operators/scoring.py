@@ -54,7 +54,7 @@ def measured(terms: DataFrame) -> TopicTerms:
     return TopicTerms(terms, size["n"], size["topics"], size["bytes"])
 
 
-def _stats_of_terms(index: Index, topics: TopicTerms) -> DataFrame:
+def stats_of_terms(index: Index, topics: TopicTerms) -> DataFrame:
     """Topic terms with df and cf. Other words are dropped before anything is merged."""
     vocabulary = topics.terms.select("term").distinct()
     if topics.n_bytes <= BROADCAST_BYTES:
@@ -76,7 +76,7 @@ def tfidf_weights(index: Index, topics: TopicTerms, copies: int = 1) -> DataFram
     """
     n = scalar(index.coll_stats, F.sum("n_docs"))
     idf = F.ln((n * copies + 1) / (F.col("df") * copies + 1)) + 1
-    return _stats_of_terms(index, topics).select(
+    return stats_of_terms(index, topics).select(
         "query_id", "term", (F.col("qtf") * idf).alias("weight"), "top_ratio")
 
 
@@ -84,7 +84,7 @@ def jm_weights(index: Index, topics: TopicTerms, copies: int = 1) -> DataFrame:
     """(query_id, term, qtf, p, top_ratio): p = (cf+1)/(T+1), the collection probability."""
     n = scalar(index.coll_stats, F.sum("n_tokens"))
     p = (F.col("cf") * copies + 1) / (n * copies + 1).cast("double")
-    return _stats_of_terms(index, topics).select("query_id", "term", "qtf", p.alias("p"), "top_ratio")
+    return stats_of_terms(index, topics).select("query_id", "term", "qtf", p.alias("p"), "top_ratio")
 
 
 def jm_part(lam: Column | float, ratio: Column) -> Column:
@@ -92,18 +92,19 @@ def jm_part(lam: Column | float, ratio: Column) -> Column:
     return F.col("qtf") * F.log1p((F.lit(1.0) - lam) / lam * ratio)
 
 
-def _matches(index: Index, weights: DataFrame, topics: TopicTerms) -> DataFrame:
+def matches(index: Index, weights: DataFrame, topics: TopicTerms) -> DataFrame:
+    """Postings of the topic terms, with whatever `weights` carries per (topic, term)."""
     return join_small(index.postings, weights, "term", topics.n_bytes)
 
 
 def any_term_match(index: Index, topics: TopicTerms) -> DataFrame:
     """(query_id, row_id): documents that hold at least one term of the topic."""
-    return _matches(index, topics.terms, topics).select("query_id", "row_id").distinct()
+    return matches(index, topics.terms, topics).select("query_id", "row_id").distinct()
 
 
-def count_matches(matches: DataFrame, copies: int = 1) -> DataFrame:
+def count_matches(pairs: DataFrame, copies: int = 1) -> DataFrame:
     """(query_id, n_matches) of distinct (query_id, row_id) pairs."""
-    return matches.groupBy("query_id").agg((F.count("*") * copies).alias("n_matches"))
+    return pairs.groupBy("query_id").agg((F.count("*") * copies).alias("n_matches"))
 
 
 def score(index: Index, topics: TopicTerms, model: str = "tfidf", lam: Column | float = 0.5,
@@ -115,12 +116,12 @@ def score(index: Index, topics: TopicTerms, model: str = "tfidf", lam: Column |
         model = "tfidf"
     length = doc_length(compat)
     if model == "tfidf":
-        found = _matches(index, tfidf_weights(index, topics, compat.copies), topics)
+        found = matches(index, tfidf_weights(index, topics, compat.copies), topics)
         part = F.col("weight") * F.sqrt("tf") / F.sqrt(length)
     else:
         lam = F.lit(lam) if isinstance(lam, (int, float)) else lam
         weights = jm_weights(index, topics, compat.copies).withColumn("lam", lam.cast("double"))
-        found = _matches(index, weights, topics)
+        found = matches(index, weights, topics)
         part = jm_part(F.col("lam"), F.col("tf") / length / F.col("p"))
     return found.groupBy("query_id", "row_id").agg(F.sum(part).alias("score"))
 
@@ -128,7 +129,7 @@ def score(index: Index, topics: TopicTerms, model: str = "tfidf", lam: Column |
 def score_grid(index: Index, topics: TopicTerms, lams: Sequence[float] = LAMBDAS,
                compat: Compat = STANDARD) -> DataFrame:
     """(query_id, lam, row_id, score): one join and one aggregation for all lambdas."""
-    found = _matches(index, jm_weights(index, topics, compat.copies), topics)
+    found = matches(index, jm_weights(index, topics, compat.copies), topics)
     ratio = F.col("tf") / doc_length(compat) / F.col("p")
     sums = [F.sum(jm_part(F.lit(x), F.col("ratio"))).alias(f"s{i}") for i, x in enumerate(lams)]
     wide = found.withColumn("ratio", ratio).groupBy("query_id", "row_id").agg(*sums)

@@ -19,7 +19,7 @@ HEAD, BODY, FOOT = 0, 1, 2
 
 
 def decimals(value: Column, digits: int = 6) -> Column:
-    return F.coalesce(F.format_string(f"%.{digits}f", value), F.lit("NaN"))
+    return F.when(value.isNotNull(), F.format_string(f"%.{digits}f", value)).otherwise("NaN")
 
 
 def single(value: Column) -> Column:

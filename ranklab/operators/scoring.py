@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ranklab.compat import STANDARD, Compat
 from ranklab.functions import text as tx
 from ranklab.operators.index import Index, merge_term_stats
-from ranklab.session import BROADCAST_BYTES, broadcast_if, join_small, scalar
+from ranklab.session import broadcast_if, join_small, scalar
 
 # The smoothing weights that are tried in training.
 LAMBDAS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
@@ -57,11 +57,8 @@ def measured(terms: DataFrame) -> TopicTerms:
 def stats_of_terms(index: Index, topics: TopicTerms) -> DataFrame:
     """Topic terms with df and cf. Other words are dropped before anything is merged."""
     vocabulary = topics.terms.select("term").distinct()
-    if topics.n_bytes <= BROADCAST_BYTES:
-        wanted = index.term_stats.join(F.broadcast(vocabulary), "term", "left_semi")
-    else:
-        wanted = index.term_stats.join(vocabulary, "term", "left_semi")
-    return join_small(merge_term_stats(wanted), topics.terms, "term", topics.n_bytes, salt_by="term")
+    wanted = index.term_stats.join(broadcast_if(vocabulary, topics.n_bytes), "term", "left_semi")
+    return merge_term_stats(wanted).join(broadcast_if(topics.terms, topics.n_bytes), "term")
 
 
 def doc_length(compat: Compat) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ranklab.compat import STANDARD, Compat
 from ranklab.operators import evaluate as ev, scoring as sc, significance as sg, tune
 from ranklab.operators.index import Index
+from ranklab.session import keep
 from ranklab.sinks import index_store as store, reports
 from ranklab.sources.records import read_collection
 
@@ -27,14 +28,19 @@ class SearchResult:
     run: DataFrame
     matches: DataFrame
     metrics: DataFrame
-    means: DataFrame
+    topics: DataFrame
+    compat: Compat
 
-    def ranking_lines(self, topics: DataFrame, top: int, cut: int, number=reports.decimals) -> DataFrame:
-        return reports.ranking_report(reports.query_texts(topics), self.matches,
+    def means(self, metrics: DataFrame | None = None) -> DataFrame:
+        return ev.mean_metrics(metrics or self.metrics, self.topics, self.compat)
+
+    def ranking_lines(self, top: int, cut: int, number=reports.decimals) -> DataFrame:
+        return reports.ranking_report(reports.query_texts(self.topics), self.matches,
                                       sc.display_top(self.run, top, cut), number)
 
     def metrics_lines(self, cut: int, number=reports.decimals) -> DataFrame:
-        return reports.metrics_csv(self.metrics, self.means, cut, number)
+        metrics = keep(self.metrics)
+        return reports.metrics_csv(metrics, self.means(metrics), cut, number)
 
 
 def search_and_evaluate(index: Index, topics: DataFrame, qrels: DataFrame, model: str = "tfidf",
@@ -50,8 +56,7 @@ def search_and_evaluate(index: Index, topics: DataFrame, qrels: DataFrame, model
     judged_pairs = ev.judgments(qrels, compat)
     ids = topics.select("query_id")
     metrics = ev.evaluate(ev.judge(ranked, judged_pairs), judged_pairs, ids, cut, compat=compat)
-    return SearchResult(ranked, sc.count_matches(scored, compat.copies), metrics,
-                        ev.mean_metrics(metrics, ids, compat))
+    return SearchResult(ranked, sc.count_matches(scored, compat.copies), metrics, topics, compat)
 
 
 def evaluate_tfidf(index: Index, topics: DataFrame, qrels: DataFrame, cut: int, metric: str,
@@ -78,7 +83,8 @@ def train_and_test(index: Index, train: DataFrame, test: DataFrame, qrels: DataF
     The chosen lambda reaches the held-out search as a subquery, not over the driver.
     """
     pairs = ev.judgments(qrels, compat)
-    grid = tune.grid_metrics(index, train, train_terms or sc.measure_terms(train), pairs, cut, metric, compat=compat)
+    grid = keep(tune.grid_metrics(index, train, train_terms or sc.measure_terms(train), pairs, cut, metric,
+                                  compat=compat))
     best = tune.best_lambda(grid, compat)
     values = tune.heldout(index, test, test_terms or sc.measure_terms(test), pairs, cut,
                           best.select("lam").scalar(), metric, compat)

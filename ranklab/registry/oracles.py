@@ -215,9 +215,8 @@ ORACLES: dict[str, str] = {
         select query_id, 'R', round(r, 6) from run_m union all select query_id, 'MAP', round(ap, 6) from run_m
         union all select query_id, 'F1', 0::DOUBLE from run_m"""),
     # scalar functions
-    "fn_tokenize": f"""select doc_id, (i - 1)::INT pos, w[i] token from
-        (select doc_id, regexp_extract_all(lower(text), {_TOK}, 0) w from documents), range(1, 100000) r(i)
-        where i <= len(w)""",
+    "fn_tokenize": f"""select doc_id, (generate_subscripts(w, 1) - 1)::INT pos, unnest(w) token from
+        (select doc_id, regexp_extract_all(lower(text), {_TOK}, 0) w from documents)""",
     "fn_lower": "select doc_id, lower(text) lowered from documents",
     "fn_trim": "select doc_id, regexp_replace(regexp_replace(text, '^[\\x00-\\x20]+', ''), '[\\x00-\\x20]+$', '') trimmed from documents",
     "fn_join_lines_space": f"select doc_id, {_JOINED} contents from documents",
@@ -238,8 +237,8 @@ ORACLES: dict[str, str] = {
     # index
     "ix_postings": _sql("post", "select term, row_id, tf::INT tf from post"),
     "ix_positions": f"""select term, doc_id row_id, string_agg(i - 1, ',' order by i) positions from
-        (select doc_id, i, w[i] term from (select doc_id, regexp_extract_all(lower(text), {_TOK}, 0) w from documents),
-         range(1, 100000) r(i) where i <= len(w)) group by term, doc_id""",
+        (select doc_id, generate_subscripts(w, 1) i, unnest(w) term from
+         (select doc_id, regexp_extract_all(lower(text), {_TOK}, 0) w from documents)) group by term, doc_id""",
     "ix_stored_fields": _sql("run", """select query_id, rank::INT rank, run.doc_id, text contents from run
         join documents on documents.doc_id = run.doc_id"""),
     "ix_doc_length": _sql("docs len", "select row_id, coalesce(dl, 0)::INT dl from docs left join len using (row_id)"),

@@ -12,7 +12,7 @@ from ranklab.operators import evaluate as ev, index as ix, scoring as sc, signif
 from ranklab.plans import experiments as ex
 from ranklab.registry import setup
 from ranklab.registry.setup import CUT, TRAIN_CUT, experiment
-from ranklab.session import shared_folder
+from ranklab.session import keep, shared_folder
 from ranklab.sinks import index_store as store, reports
 from ranklab.sources import judgments as js, records, samples, tagged
 
@@ -166,7 +166,7 @@ def _search(spark, sf, model="tfidf", lam=0.5, compat=Compat(), cut=CUT):
 @query
 def snk_ranking_report(spark, sf):
     e, found = _search(spark, sf)
-    return _written(spark, found.ranking_lines(e.topics, CUT, CUT),
+    return _written(spark, found.ranking_lines(CUT, CUT),
                     reports.ranking_name("documents", "tfidf", CUT, 0.5, "all"))
 
 
@@ -209,7 +209,7 @@ def snk_tfidf_eval_csv(spark, sf):
 
 @query
 def snk_test_table(spark, sf):
-    tests = sg.paired_tests(_pairs(spark, sf), ["metric", "lam"], ALPHA)
+    tests = sg.paired_tests(keep(_pairs(spark, sf)), ["metric", "lam"], ALPHA)
     return _written(spark, reports.test_table(tests, ["metric", "lam"]), "tests.tsv")
 
 
@@ -543,12 +543,12 @@ def _means(df):
 
 @query
 def ev_mean_metrics(spark, sf):
-    return _means(_search(spark, sf)[1].means)
+    return _means(_search(spark, sf)[1].means())
 
 
 @query
 def ev_mean_metrics_compat(spark, sf):
-    return _means(_search(spark, sf, compat=REFERENCE)[1].means)
+    return _means(_search(spark, sf, compat=REFERENCE)[1].means())
 
 
 @query
@@ -637,7 +637,7 @@ def st_reject(spark, sf):
 
 @query
 def st_abs_diff_ranks(spark, sf):
-    return sg.abs_diff_ranks(_pairs(spark, sf), BY).select(*BY, "query_id", r6("avg_rank"))
+    return sg.abs_diff_ranks(keep(_pairs(spark, sf)), BY).select(*BY, "query_id", r6("avg_rank"))
 
 
 @query

@@ -27,14 +27,30 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/ranklab-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}"
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate, from file sizes; no job runs for it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition by `key` when the input has fewer splits than the cluster has cores.
+    """Hash-partition by `key` when the input is too small to give every core a split.
+
+    A large table is left alone: no shuffle is spent on it.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return df.repartition(cores, key) if estimated_bytes(df) < cores * split else df
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Store a small result that is used more than once, in the shared folder.
 
-    A table of many splits is left alone: no shuffle is spent on it.
+    What was computed survives lost executors and is not computed again per use.
     """
-    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if splits >= cores else df.repartition(cores, key)
+    path = f"{shared_folder(df.sparkSession)}/kept"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def join_small(big: DataFrame, small: DataFrame, on: str, small_bytes: int,

@@ -9,17 +9,17 @@ third of all postings is spread over all buckets like any other.
 
 from __future__ import annotations
 
-import re
-import uuid
+import hashlib
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ranklab.operators import index as ix
+from ranklab.session import estimated_bytes
 
-# Stored text per bucket, in bytes, and the most buckets Spark takes by default.
-BUCKET_BYTES = 64 * 1024 * 1024
-MAX_BUCKETS = 100_000
+# Input bytes per bucket (as stored, so compressed), and the most buckets to make.
+BUCKET_BYTES = 32 * 1024 * 1024
+MAX_BUCKETS = 1_000_000
 
 # Columns in the order they are written, and the order of rows inside a bucket.
 _TABLES = {
@@ -30,15 +30,23 @@ _TABLES = {
 
 def bucket_count(docs: DataFrame) -> int:
     """At least one bucket per core, more when the estimated input is large."""
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     cores = docs.sparkSession.sparkContext.defaultParallelism
-    return max(cores, min(MAX_BUCKETS, -(-size // BUCKET_BYTES)))
+    return max(cores, min(MAX_BUCKETS, -(-estimated_bytes(docs) // BUCKET_BYTES)))
+
+
+def _name(path: str, name: str) -> str:
+    return f"ranklab_{name}_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
 
 
 def _register(spark: SparkSession, path: str, name: str, buckets: int) -> str:
     """Give the stored files a table name, which is how Spark learns of their bucketing."""
     columns, order = _TABLES[name]
-    table = "ranklab_" + re.sub(r"\W", "_", f"{name}_{uuid.uuid4().hex}")
+    table = _name(path, name)
+    if spark.catalog.tableExists(table):
+        spark.catalog.refreshTable(table)
+        return table
+    allowed = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", str(max(allowed, buckets)))
     spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (row_id) "
               f"SORTED BY ({order}) INTO {buckets} BUCKETS LOCATION '{path}/{name}'")
     return table
@@ -48,7 +56,7 @@ def _write(docs: DataFrame, path: str, buckets: int, above: int | None) -> None:
     """Write one batch of (doc_id, contents); `above` is the highest row_id stored so far."""
     spark = docs.sparkSession
     fresh = above is None
-    first = 0 if fresh else above + 1 - docs.agg(F.min("doc_id").alias("low")).first()["low"]
+    first = 0 if fresh else above + 1 - (docs.agg(F.min("doc_id").alias("low")).first()["low"] or 0)
     rows = ix.with_row_ids(docs.select("doc_id", "contents"), first).repartition(buckets, "row_id")
 
     posts = _register(spark, path, "postings", buckets)
@@ -67,13 +75,13 @@ def _write(docs: DataFrame, path: str, buckets: int, above: int | None) -> None:
     spark.catalog.refreshTable(documents)
     added = spark.table(documents) if fresh else spark.table(documents).where(F.col("row_id") > above)
     ix.coll_stats(added).write.mode(mode).parquet(f"{path}/coll_stats")
-    for table in (posts, documents):
-        spark.sql(f"DROP TABLE {table}")
 
 
 def create_index(docs: DataFrame, path: str, buckets: int | None = None) -> None:
     """Store a new index of (doc_id, contents); one that lies there is replaced."""
     n = buckets or bucket_count(docs)
+    for name in _TABLES:
+        docs.sparkSession.sql(f"DROP TABLE IF EXISTS {_name(path, name)}")
     docs.sparkSession.createDataFrame([(n,)], "buckets INT").write.mode("overwrite").parquet(f"{path}/layout")
     _write(docs, path, n, None)
 

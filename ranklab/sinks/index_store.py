@@ -20,6 +20,8 @@ from ranklab.session import estimated_bytes
 # Input bytes per bucket (as stored, so compressed), and the most buckets to make.
 BUCKET_BYTES = 32 * 1024 * 1024
 MAX_BUCKETS = 1_000_000
+# A size estimate this large (a petabyte) stands for "not known".
+UNKNOWN_BYTES = 10 ** 15
 
 # Columns in the order they are written, and the order of rows inside a bucket.
 _TABLES = {
@@ -29,9 +31,13 @@ _TABLES = {
 
 
 def bucket_count(docs: DataFrame) -> int:
-    """At least one bucket per core, more when the estimated input is large."""
-    cores = docs.sparkSession.sparkContext.defaultParallelism
-    return max(cores, min(MAX_BUCKETS, -(-estimated_bytes(docs) // BUCKET_BYTES)))
+    """At least one bucket per core, more when the estimated input is large; where
+    Catalyst has no believable estimate, the session's number of shuffle partitions."""
+    spark = docs.sparkSession
+    size = estimated_bytes(docs)
+    if size >= UNKNOWN_BYTES:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(spark.sparkContext.defaultParallelism, min(MAX_BUCKETS, -(-size // BUCKET_BYTES)))
 
 
 def _name(path: str, name: str) -> str:

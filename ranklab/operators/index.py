@@ -19,7 +19,7 @@ from ranklab.session import spread
 class Index:
     """documents (row_id, doc_id, dl), postings (term, row_id, tf, dl),
     term_stats (term, df, cf, top_ratio): one row per term and batch, to be merged,
-    coll_stats (n_docs, n_tokens): one row per batch, to be added up."""
+    coll_stats (n_docs, n_tokens, first_row, last_row): one row per batch."""
 
     documents: DataFrame
     postings: DataFrame
@@ -73,7 +73,8 @@ def merge_term_stats(parts: DataFrame) -> DataFrame:
 
 
 def coll_stats(documents: DataFrame) -> DataFrame:
-    return documents.agg(F.count("*").alias("n_docs"), F.coalesce(F.sum("dl"), F.lit(0)).alias("n_tokens"))
+    return documents.agg(F.count("*").alias("n_docs"), F.coalesce(F.sum("dl"), F.lit(0)).alias("n_tokens"),
+                         F.min("row_id").alias("first_row"), F.max("row_id").alias("last_row"))
 
 
 def build_index(docs: DataFrame, copies: int = 1, positions: bool = False) -> Index:

@@ -7,20 +7,22 @@ length and frequency are already in each posting.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ranklab.compat import STANDARD, Compat
 from ranklab.functions import text as tx
 from ranklab.operators.index import Index, merge_term_stats
-from ranklab.session import broadcast_if, join_small, scalar
+from ranklab.session import BROADCAST_BYTES, broadcast_if, estimated_bytes, join_small, scalar
 
 # The smoothing weights that are tried in training.
 LAMBDAS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
-# Scores are compared after rounding, so the order of summation cannot decide a rank.
-SCORE_DIGITS = 9
+# Scores are compared in units of 1e-9, so the order of summation cannot decide a rank.
+SCORE_UNITS = 1e9
+# Stored postings (times lambdas) from which on score bounds repay their extra pass.
+BOUND_BYTES = 64 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -126,22 +128,61 @@ def score(index: Index, topics: TopicTerms, model: str = "tfidf", lam: Column |
 def score_grid(index: Index, topics: TopicTerms, lams: Sequence[float] = LAMBDAS,
                compat: Compat = STANDARD) -> DataFrame:
     """(query_id, lam, row_id, score): one join and one aggregation for all lambdas."""
-    found = matches(index, jm_weights(index, topics, compat.copies), topics)
     ratio = F.col("tf") / doc_length(compat) / F.col("p")
-    sums = [F.sum(jm_part(F.lit(x), F.col("ratio"))).alias(f"s{i}") for i, x in enumerate(lams)]
-    wide = found.withColumn("ratio", ratio).groupBy("query_id", "row_id").agg(*sums)
-    cells = F.array(*[F.struct(F.lit(x).alias("lam"), F.col(f"s{i}").alias("score"))
-                      for i, x in enumerate(lams)])
+    found = matches(index, jm_weights(index, topics, compat.copies), topics)
+    wide = found.withColumn("ratio", ratio).groupBy("query_id", "row_id").agg(
+        *[F.sum(jm_part(F.lit(x), F.col("ratio"))).alias(f"s{i}") for i, x in enumerate(lams)])
+    cells = F.array(*[F.struct(F.lit(x).alias("lam"), F.col(f"s{i}").alias("score")) for i, x in enumerate(lams)])
     return wide.select("query_id", "row_id", F.inline(cells)).select("query_id", "lam", "row_id", "score")
 
 
+def rank_key() -> Column:
+    return F.rint(F.col("score") * SCORE_UNITS)
+
+
+def leading_documents(index: Index, k: int) -> Index:
+    """The index with only the first sqrt(k * N) or so documents of its N; all statistics stay."""
+    s = F.sum("n_docs").cast("double")
+    span = F.max("last_row") - F.min("first_row") + 1
+    end = F.min("first_row") + F.ceil(span * F.least(F.lit(1.0), F.sqrt(F.lit(float(k)) / s)))
+    return replace(index, postings=index.postings.where(F.col("row_id") < scalar(index.coll_stats, end)))
+
+
+def best_hits(index: Index, topics: TopicTerms, k: int, scorer: Callable[[Index], DataFrame],
+              by: Sequence[str] = ("query_id",), groups: int = 1, copies: int = 1,
+              bounded: bool | None = None) -> DataFrame:
+    """`top_k` of all documents, without sorting them all.
+
+    The k-th best score among the leading documents is a lower bound of the k-th
+    best of all, so documents below it are dropped before the sort. At the bound,
+    documents behind all k leading ones lose the tie and go as well. A topic with
+    fewer than k leading matches has no bound. The result is that of `top_k`. The
+    bounds are one row per topic (and lambda: `groups`); if they are too large to
+    broadcast, or the postings too few to repay a second look, none are used.
+    """
+    scores, per_topic = scorer(index), -(-k // copies)
+    if bounded is None:
+        bounded = estimated_bytes(index.postings) * groups >= BOUND_BYTES
+    if bounded and topics.n_topics * groups * 64 <= BROADCAST_BYTES:
+        leading = top_k(scorer(leading_documents(index, per_topic)), per_topic, by)
+        # One unit of slack, as the two sums of one document may be rounded apart;
+        # parts are never negative, so a sum of zero is exact.
+        bounds = leading.groupBy(*by).agg(
+            F.count("*").alias("n"), F.max("row_id").alias("last"),
+            F.greatest(F.min(rank_key()) - 1, F.lit(0.0)).alias("bound")).where(F.col("n") == per_topic)
+        behind = (rank_key() < F.col("bound")) | ((rank_key() == F.col("bound")) & (F.col("row_id") > F.col("last")))
+        scores = (scores.join(F.broadcast(bounds.drop("n")), list(by), "left")
+                  .where(F.coalesce(~behind, F.lit(True))).drop("last", "bound"))
+    return top_k(scores, k, by, copies)
+
+
 def top_k(scores: DataFrame, k: int, by: Sequence[str] = ("query_id",), copies: int = 1) -> DataFrame:
     """Best k hits per topic with their rank; equal scores stand in document order.
 
     Each task keeps its own best k before anything is shuffled. With `copies`,
     a document fills that many neighbouring ranks, row ids as if stored that often.
     """
-    order = W.partitionBy(*by).orderBy(F.desc(F.round("score", SCORE_DIGITS)), "row_id")
+    order = W.partitionBy(*by).orderBy(F.desc(rank_key()), "row_id")
     best = scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= -(-k // copies))
     if copies > 1:
         best = (expand_copies(best.withColumnRenamed("rank", "first"), copies)
@@ -168,14 +209,15 @@ def with_documents(run: DataFrame, index: Index, run_bytes: int, copies: int = 1
 def run(index: Index, topics: TopicTerms, k: int, model: str = "tfidf", lam: Column | float = 0.5,
         compat: Compat = STANDARD) -> DataFrame:
     """(query_id, row_id, score, rank, doc_id): the ranking of every topic."""
-    best = top_k(score(index, topics, model, lam, compat), k, copies=compat.copies)
+    best = best_hits(index, topics, k, lambda part: score(part, topics, model, lam, compat), copies=compat.copies)
     return with_documents(best, index, topics.run_bytes(k), compat.copies)
 
 
 def run_grid(index: Index, topics: TopicTerms, k: int, lams: Sequence[float] = LAMBDAS,
              compat: Compat = STANDARD) -> DataFrame:
     """The rankings of every topic under every lambda."""
-    best = top_k(score_grid(index, topics, lams, compat), k, ("query_id", "lam"), compat.copies)
+    best = best_hits(index, topics, k, lambda part: score_grid(part, topics, lams, compat),
+                     ("query_id", "lam"), len(lams), compat.copies)
     return with_documents(best, index, topics.run_bytes(k) * len(lams), compat.copies)
 
 

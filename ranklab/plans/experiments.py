@@ -50,13 +50,11 @@ def search_and_evaluate(index: Index, topics: DataFrame, qrels: DataFrame, model
     if cut <= 0:
         raise ValueError("cut must be at least 1")
     terms = terms or sc.measure_terms(topics)
-    scored = sc.score(index, terms, model, lam, compat)
-    best = sc.top_k(scored, cut, copies=compat.copies)
-    ranked = sc.with_documents(best, index, terms.run_bytes(cut), compat.copies)
+    ranked = sc.run(index, terms, cut, model, lam, compat)
     judged_pairs = ev.judgments(qrels, compat)
     ids = topics.select("query_id")
     metrics = ev.evaluate(ev.judge(ranked, judged_pairs), judged_pairs, ids, cut, compat=compat)
-    return SearchResult(ranked, sc.count_matches(scored, compat.copies), metrics, topics, compat)
+    return SearchResult(ranked, sc.count_matches(sc.any_term_match(index, terms), compat.copies), metrics, topics, compat)
 
 
 def evaluate_tfidf(index: Index, topics: DataFrame, qrels: DataFrame, cut: int, metric: str,

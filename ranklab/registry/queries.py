@@ -382,7 +382,7 @@ def ix_term_vectors(spark, sf):
 @query
 def ix_stored_fields(spark, sf):
     e = experiment(spark, sf)
-    best = sc.top_k(sc.score(e.index, e.terms), CUT)
+    best = sc.best_hits(e.index, e.terms, CUT, lambda index: sc.score(index, e.terms))
     with_text = setup.documents(spark, sf).withColumn("row_id", F.col("doc_id"))
     hits = sc.with_documents(best, ix.Index(with_text, *[None] * 3), e.terms.run_bytes(CUT), fields=("doc_id", "contents"))
     return hits.select("query_id", "rank", "doc_id", "contents")
@@ -491,7 +491,8 @@ def count_matches(spark, sf):
 @query
 def topk_hits(spark, sf):
     e = experiment(spark, sf)
-    return sc.top_k(sc.score(e.index, e.terms), CUT).select("query_id", "rank", "row_id", r6("score"))
+    best = sc.best_hits(e.index, e.terms, CUT, lambda index: sc.score(index, e.terms))
+    return best.select("query_id", "rank", "row_id", r6("score"))
 
 
 @query

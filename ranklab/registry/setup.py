@@ -13,7 +13,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ranklab.operators import index as ix, scoring as sc
-from ranklab.session import join_small, scalar, shared_folder
+from ranklab.session import join_small, keep, scalar, shared_folder, spread
 from ranklab.sinks import index_store as store
 from ranklab.sources import tagged
 
@@ -22,16 +22,7 @@ TRAIN_CUT = 5       # hits per topic in training
 RARE_SHARE = 0.02
 RARE_TERMS = 2
 
-_prepared: dict[tuple[str, str], "Prepared"] = {}
-
-
-@dataclass(frozen=True)
-class Prepared:
-    """Where one application stored the parts for one set of tables, and their sizes."""
-
-    path: str
-    terms: sc.TopicTerms
-    fused: sc.TopicTerms
+_prepared: dict[tuple, "Experiment"] = {}
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -39,7 +30,6 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def doc_rows(spark: SparkSession, sf: str, copies: int = 1) -> DataFrame:
-    from ranklab.session import spread
     return ix.with_row_ids(spread(documents(spark, sf), "doc_id"), copies=copies)
 
 
@@ -61,18 +51,6 @@ def derive_qrels(index: ix.Index, terms: sc.TopicTerms) -> DataFrame:
     return rows.join(index.documents.select("row_id", "doc_id"), "row_id").select("query_id", "doc_id")
 
 
-def _prepare(spark: SparkSession, sf: str) -> Prepared:
-    path = shared_folder(spark)
-    store.create_index(documents(spark, sf), f"{path}/index")
-    found = []
-    for name, fuse in (("terms", False), ("fused", True)):
-        sc.query_terms(topics(spark, sf, fuse)).write.parquet(f"{path}/{name}")
-        found.append(sc.measured(spark.read.parquet(f"{path}/{name}")))
-    index = store.open_index(spark, f"{path}/index")
-    derive_qrels(index, found[0]).write.parquet(f"{path}/qrels")
-    return Prepared(path, *found)
-
-
 @dataclass(frozen=True)
 class Experiment:
     index: ix.Index
@@ -89,13 +67,17 @@ class Experiment:
             self.terms, terms=self.terms.terms.where(half))) for half in (low, high))
 
 
+def _prepare(spark: SparkSession, sf: str) -> Experiment:
+    path = shared_folder(spark)
+    store.create_index(documents(spark, sf), f"{path}/index")
+    index = store.open_index(spark, f"{path}/index")
+    terms = [sc.measured(keep(sc.query_terms(topics(spark, sf, fuse)))) for fuse in (False, True)]
+    return Experiment(index, topics(spark, sf), *terms, keep(derive_qrels(index, terms[0])))
+
+
 def experiment(spark: SparkSession, sf: str) -> Experiment:
-    key = (spark.sparkContext.applicationId, sf)
+    """The stored parts for one set of tables, made on first use by an application."""
+    key = (spark.sparkContext.applicationId, id(spark), sf)
     if key not in _prepared:
         _prepared[key] = _prepare(spark, sf)
-    parts = _prepared[key]
-    return Experiment(
-        store.open_index(spark, f"{parts.path}/index"), topics(spark, sf),
-        replace(parts.terms, terms=spark.read.parquet(f"{parts.path}/terms")),
-        replace(parts.fused, terms=spark.read.parquet(f"{parts.path}/fused")),
-        spark.read.parquet(f"{parts.path}/qrels"))
+    return _prepared[key]

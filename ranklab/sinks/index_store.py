@@ -26,7 +26,7 @@ UNKNOWN_BYTES = 10 ** 15
 # Columns in the order they are written, and the order of rows inside a bucket.
 _TABLES = {
     "documents": ("row_id BIGINT, doc_id BIGINT, dl INT", "row_id"),
-    "postings": ("term STRING, row_id BIGINT, tf INT, dl INT", "term"),
+    "postings": ("term STRING, row_id BIGINT, tf INT, dl INT", "row_id"),
 }
 
 
@@ -123,8 +123,8 @@ def open_index(spark: SparkSession, path: str) -> ix.Index:
     return ix.Index(
         spark.table(_register(spark, path, "documents", buckets)),
         spark.table(_register(spark, path, "postings", buckets)),
-        spark.read.parquet(f"{path}/term_stats"),
-        spark.read.parquet(f"{path}/coll_stats"))
+        spark.read.schema("term STRING, df BIGINT, cf BIGINT, top_ratio DOUBLE").parquet(f"{path}/term_stats"),
+        spark.read.schema("n_docs BIGINT, n_tokens BIGINT, first_row BIGINT, last_row BIGINT").parquet(f"{path}/coll_stats"))
 
 
 def count_documents(index: ix.Index) -> DataFrame:

@@ -84,6 +84,21 @@ def test_salted_join_when_topics_are_too_large_to_broadcast(frames):
     assert ranking(found) == ranking(sc.run(index, terms, 10))
 
 
+def test_bounds_change_nothing(frames):
+    """Dropping documents below the bound of the leading ones gives the full sort's ranking."""
+    docs, topics = frames
+    index, terms = ix.build_index(docs), sc.measure_terms(topics)
+    for k in (1, 10, 1000):
+        some = sc.best_hits(index, terms, k, lambda i: sc.score(i, terms), bounded=True)
+        assert ranking(some) == ranking(sc.top_k(sc.score(index, terms), k))
+    for copies in (1, 2):
+        compat = Compat(copies=copies)
+        grid = sc.best_hits(index, terms, 5, lambda i: sc.score_grid(i, terms, compat=compat),
+                            ("query_id", "lam"), 10, copies, True)
+        full = sc.top_k(sc.score_grid(index, terms, compat=Compat(copies=copies)), 5, ("query_id", "lam"), copies)
+        assert grid.exceptAll(full.select(grid.columns)).count() == 0 and grid.count() == full.count()
+
+
 def test_join_small_keeps_all_rows_of_a_hot_key(spark):
     big = spark.range(5000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 100)).alias("k"),
                                    F.col("id").alias("row_id"))

@@ -197,10 +197,10 @@ def expand_copies(rows: DataFrame, copies: int) -> DataFrame:
             .withColumn("row_id", F.col("row_id") * copies + F.col("copy")).drop("copy"))
 
 
-def with_documents(run: DataFrame, index: Index, run_bytes: int, copies: int = 1,
+def with_documents(run: DataFrame, documents: DataFrame, run_bytes: int, copies: int = 1,
                    fields: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Fetch stored fields of the hits. The run, not the collection, is the side that moves."""
-    stored = index.documents.select(F.col("row_id").alias("stored_row"), *fields)
+    stored = documents.select(F.col("row_id").alias("stored_row"), *fields)
     keyed = run.withColumn("stored_row", F.floor(F.col("row_id") / copies).cast("bigint")) \
         if copies > 1 else run.withColumn("stored_row", F.col("row_id"))
     return stored.join(broadcast_if(keyed, run_bytes), "stored_row").drop("stored_row")
@@ -210,7 +210,7 @@ def run(index: Index, topics: TopicTerms, k: int, model: str = "tfidf", lam: Col
         compat: Compat = STANDARD) -> DataFrame:
     """(query_id, row_id, score, rank, doc_id): the ranking of every topic."""
     best = best_hits(index, topics, k, lambda part: score(part, topics, model, lam, compat), copies=compat.copies)
-    return with_documents(best, index, topics.run_bytes(k), compat.copies)
+    return with_documents(best, index.documents, topics.run_bytes(k), compat.copies)
 
 
 def run_grid(index: Index, topics: TopicTerms, k: int, lams: Sequence[float] = LAMBDAS,
@@ -218,7 +218,7 @@ def run_grid(index: Index, topics: TopicTerms, k: int, lams: Sequence[float] = L
     """The rankings of every topic under every lambda."""
     best = best_hits(index, topics, k, lambda part: score_grid(part, topics, lams, compat),
                      ("query_id", "lam"), len(lams), compat.copies)
-    return with_documents(best, index, topics.run_bytes(k) * len(lams), compat.copies)
+    return with_documents(best, index.documents, topics.run_bytes(k) * len(lams), compat.copies)
 
 
 def display_top(ranked: DataFrame, top: int, cut: int) -> DataFrame:

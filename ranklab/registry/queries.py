@@ -383,8 +383,8 @@ def ix_term_vectors(spark, sf):
 def ix_stored_fields(spark, sf):
     e = experiment(spark, sf)
     best = sc.best_hits(e.index, e.terms, CUT, lambda index: sc.score(index, e.terms))
-    with_text = setup.documents(spark, sf).withColumn("row_id", F.col("doc_id"))
-    hits = sc.with_documents(best, ix.Index(with_text, *[None] * 3), e.terms.run_bytes(CUT), fields=("doc_id", "contents"))
+    stored = ix.with_row_ids(setup.documents(spark, sf))
+    hits = sc.with_documents(best, stored, e.terms.run_bytes(CUT), fields=("doc_id", "contents"))
     return hits.select("query_id", "rank", "doc_id", "contents")
 
 

@@ -113,29 +113,34 @@ class Pattern:
     copies: int
 
 
-def _fitting(gap: int, have: np.ndarray, own: int) -> tuple[int, ...] | None:
-    """One, two or three available lengths whose sum is exactly `gap`, the largest first; `own` is already used once."""
+def _fitting(gap: int, have: np.ndarray, own: int, most: int) -> tuple[int, ...] | None:
+    """One, two or three (`most` at most) available lengths that sum to `gap`; `own` is already used once.
+
+    Even sums come first: short lengths, which fit anywhere, are left for the end.
+    """
     left = have.copy()
     left[own] -= 1
     there = np.flatnonzero(left[: gap + 1])
     there = there[there > 0]
     if len(there) and there[-1] == gap:
         return (gap,)
-    if not len(there):
+    if not len(there) or most < 2:
         return None
     marked = np.zeros(gap + 1, bool)                       # singles by their length
     marked[there] = True
-    pairs = there[marked[gap - there]][::-1]               # a with gap - a there too
+    pairs = there[marked[gap - there] & (2 * there >= gap)]   # a with gap - a there too, the most even first
     for a in pairs:
         if 2 * a != gap or left[a] > 1:
             return (int(a), int(gap - a))
+    if most < 3:
+        return None
     sums = np.full(gap + 1, -1, np.int64)                  # pairs by their sum
     for b in there:
         own_sums = there[there <= min(b, gap - b)]
         if left[b] < 2:
             own_sums = own_sums[own_sums != b]
         sums[own_sums + b] = b
-    for a in there[sums[gap - there] > 0][::-1]:
+    for a in there[(sums[gap - there] > 0) & (3 * there >= gap)]:
         b = int(sums[gap - a])
         three = (int(a), b, int(gap - a - b))
         if all(left[x] >= three.count(x) for x in three):
@@ -144,24 +149,32 @@ def _fitting(gap: int, have: np.ndarray, own: int) -> tuple[int, ...] | None:
 
 
 def plan(counts: dict[int, int], size: int = SIZE) -> list[Pattern]:
-    """Which lengths lie together. Every step uses up one length or a combination, so the plan's size is bounded by `size`.
+    """Which lengths lie together: of some orders of taking exact complements, the one that needs the fewest sequences."""
+    orders = [(1, 2, 3), (1, 2), (3,), (2, 3), (1,), (2,)]
+    return min((_plan(counts, size, order) for order in orders), key=lambda p: sum(x.copies for x in p))
 
-    Longest first: one, two or three lengths that fill the gap exactly are taken as
-    often as they are there; lengths without such a complement are placed best-fit,
-    the longest first, each into the open sequences with the smallest gap that takes it.
+
+def _plan(counts: dict[int, int], size: int, order: tuple[int, ...]) -> list[Pattern]:
+    """Every step uses up one length or a combination, so the plan's size is bounded by `size`.
+
+    In each round of `order`, longest first: as many lengths as the round says that
+    fill the gap exactly are taken as often as they are there; lengths without such
+    a complement are placed best-fit in the end, the longest first, each into the
+    open sequences with the smallest gap that takes it.
     """
     have = np.zeros(size + 1, np.int64)
     for length, n in counts.items():
         have[length] = n
     done = [Pattern((size,), int(have[size]))] if have[size] else []
     have[size] = 0
-    for length in range(size - 1, 0, -1):
-        while have[length] and (rest := _fitting(size - length, have, length)):
-            lengths = (length, *rest)
-            copies = min(int(have[x]) // lengths.count(x) for x in set(lengths))
-            done.append(Pattern(tuple(sorted(lengths, reverse=True)), copies))
-            for x in lengths:
-                have[x] -= copies
+    for most in order:
+        for length in range(size - 1, 0, -1):
+            while have[length] and (rest := _fitting(size - length, have, length, most)):
+                lengths = (length, *rest)
+                copies = min(int(have[x]) // lengths.count(x) for x in set(lengths))
+                done.append(Pattern(tuple(sorted(lengths, reverse=True)), copies))
+                for x in lengths:
+                    have[x] -= copies
     open_: dict[int, dict[tuple[int, ...], int]] = {}      # gap -> lengths so far -> sequences
     for length in range(size - 1, 0, -1):
         left = int(have[length])

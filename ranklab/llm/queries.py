@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ranklab.llm import decontaminate, packing
+from ranklab.llm import decontaminate, packing, quality_rules, secret_scan, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -34,3 +34,18 @@ def op1_best_fit_packing(spark, sf):
 @query
 def op6_benchmark_decontamination(spark, sf):
     return decontaminate.digest(decontaminate.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark")))
+
+
+@query
+def op2_secret_scans(spark, sf):
+    return secret_scan.digest(secret_scan.scan(table(spark, sf, "documents")))
+
+
+@query
+def op3_url_filters(spark, sf):
+    return url_filter.judge(table(spark, sf, "pages"), url_filter.base_rules(spark))
+
+
+@query
+def op8_quality_rules(spark, sf):
+    return quality_rules.judge(table(spark, sf, "documents"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ranklab.llm import decontaminate, packing, quality_rules, secret_scan, url_filter
+from ranklab.llm import decontaminate, html_text, licenses, packing, quality_rules, secret_scan, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -49,3 +49,13 @@ def op3_url_filters(spark, sf):
 @query
 def op8_quality_rules(spark, sf):
     return quality_rules.judge(table(spark, sf, "documents"))
+
+
+@query
+def op5_html_extraction(spark, sf):
+    return html_text.extract(table(spark, sf, "pages"))
+
+
+@query
+def op9_license_scans(spark, sf):
+    return licenses.digest(licenses.scan(table(spark, sf, "documents")))

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ranklab.llm import decontaminate, html_text, licenses, packing, quality_rules, secret_scan, url_filter
+from ranklab.llm import (decontaminate, html_text, licenses, packing, quality_knn, quality_rules, secret_scan, toxicity,
+                         url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -59,3 +60,16 @@ def op5_html_extraction(spark, sf):
 @query
 def op9_license_scans(spark, sf):
     return licenses.digest(licenses.scan(table(spark, sf, "documents")))
+
+
+@query
+def op4_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+
+
+@query
+def op10_quality_classifier(spark, sf):
+    docs = table(spark, sf, "documents")
+    scored = quality_knn.score(docs.select("doc_id", "text"), quality_knn.fit(docs, table(spark, sf, "labels")))
+    return scored.select("doc_id", "held_out", "score", "predicted")

@@ -8,27 +8,49 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ranklab.llm import decontaminate, packing
+from ranklab.llm import decontaminate, near_dup, packing, quality_knn, secret_scan
 from ranklab.llm.queries import table, tokenizer
 from ranklab.session import keep
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labelled ones among `docs`, predicts to be good."""
+    model = quality_knn.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_knn.score(docs, model).where("predicted = 1").select(*docs.columns)
+
+
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates, the one with the smallest id."""
+    return near_dup.first_of_class(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark window occurs."""
     return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"))
 
 
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret replaced by a mark; n_chars follows where a text has changed."""
+    found = secret_scan.scan(docs)
+    clean = secret_scan.redact(found.withColumn("changed", F.size("spans") > 0))
+    n_chars = F.when(F.col("changed"), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return clean.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
     return packing.pack(docs, tokenizer())
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", quality_classifier),
+    ("minhash_near_dedup", minhash_near_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scans", secret_scans),
     ("best_fit_packing", best_fit_packing),
 ]
 ORACLE_SQL: str | None = None

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ranklab.llm import (decontaminate, html_text, licenses, packing, quality_knn, quality_rules, secret_scan, toxicity,
-                         url_filter)
+from ranklab.llm import (decontaminate, html_text, licenses, near_dup, packing, quality_knn, quality_rules,
+                         secret_scan, toxicity, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -73,3 +73,8 @@ def op10_quality_classifier(spark, sf):
     docs = table(spark, sf, "documents")
     scored = quality_knn.score(docs.select("doc_id", "text"), quality_knn.fit(docs, table(spark, sf, "labels")))
     return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op7_minhash_near_dedup(spark, sf):
+    return near_dup.classes(table(spark, sf, "documents")).select("doc_id", "class_id", "first")

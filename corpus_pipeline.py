@@ -35,9 +35,11 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret replaced by a mark; n_chars follows where a text has changed."""
-    found = secret_scan.scan(docs)
-    clean = secret_scan.redact(found.withColumn("changed", F.size("spans") > 0))
-    n_chars = F.when(F.col("changed"), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    spans = "spans"
+    while spans in docs.columns:
+        spans += "_"
+    clean = secret_scan.redact(secret_scan.scan(docs, into=spans), spans=spans)
+    n_chars = F.when(F.size(spans) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return clean.withColumn("n_chars", n_chars).select(*docs.columns)
 
 

@@ -160,11 +160,11 @@ def _spans(rule: Rule, kind: int) -> Column:
     return F.aggregate(pairs, first.cast(f"struct<at:int,found:{_SPAN}>"), add, lambda x: x["found"])
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """`docs`, all columns, and `spans`: array of (start, kind, end) by start, then kind (its number in `rules`).
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, into: str = "spans") -> DataFrame:
+    """`docs`, all columns, and `into`: array of (start, kind, end) by start, then kind (its number in `rules`).
 
     Null and empty texts have none. Every row is judged by itself: repeated rows and null ids
-    are no special case; an empty table stays empty. A column named spans is replaced.
+    are no special case; an empty table stays empty. A column with the name `into` is replaced.
     """
     queries = Queries.of(rules)
     own = take(docs, doc_id="doc_id", text="text")
@@ -178,8 +178,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     for i, rule in enumerate(rules):
         asked = F.coalesce(F.getbit("rules", F.lit(i)), F.lit(0)) == 1 if i in queries.masks else F.lit(True)
         each.append(F.when(asked & F.col("text").rlike(rule.pattern), _spans(rule, i)).otherwise(nothing))
-    return marked.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns) if c != "spans"],
-                         F.array_sort(F.concat(*each)).alias("spans"))
+    return marked.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns) if c != into],
+                         F.array_sort(F.concat(*each)).alias(into))
 
 
 def told(spans: Column, rules: tuple[Rule, ...]) -> Column:
@@ -198,8 +198,8 @@ def digest(found: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
                         told(F.col("spans"), rules).alias("spans"))
 
 
-def redact(found: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """The columns before `scan`, with every span of the text replaced by `mark`; overlapping spans by one."""
+def redact(found: DataFrame, mark: str = "[secret]", spans: str = "spans") -> DataFrame:
+    """`found`, with every span of the text replaced by `mark`; overlapping spans by one."""
     def add(so_far: Column, s: Column) -> Column:
         between = F.substring(F.col("text"), so_far["at"] + 1, s["start"] - so_far["at"])
         fresh = F.concat(so_far["out"], between, F.lit(mark))
@@ -207,6 +207,6 @@ def redact(found: DataFrame, mark: str = "[secret]") -> DataFrame:
                         F.when(s["start"] >= so_far["at"], fresh).otherwise(so_far["out"]).alias("out"))
 
     first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.aggregate(
-        "spans", first, add, lambda x: F.concat(x["out"], F.substring(F.col("text"), x["at"] + 1, F.length("text")))))
-    return found.select(*[clean.alias("text") if c == "text" else F.col(c) for c in found.columns if c != "spans"])
+    clean = F.when(F.size(spans) == 0, F.col("text")).otherwise(F.aggregate(
+        spans, first, add, lambda x: F.concat(x["out"], F.substring(F.col("text"), x["at"] + 1, F.length("text")))))
+    return found.select(*[clean.alias("text") if c == "text" else F.col(c) for c in found.columns])

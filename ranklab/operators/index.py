@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ranklab.functions import text as tx
-from ranklab.session import spread
+from ranklab.session import keep, spread
 
 
 @dataclass(frozen=True)
@@ -27,15 +27,41 @@ class Index:
     coll_stats: DataFrame
 
 
+# Ids below this leave room for the ids of later batches and of copies.
+LARGEST_ID = 1 << 60
+
+
+def ids_can_number(docs: DataFrame) -> bool:
+    """Whether the ids tell all rows apart and are in [0, LARGEST_ID): one pass over the ids alone."""
+    seen = docs.groupBy("doc_id").agg(F.count("*").alias("n")).agg(
+        F.coalesce(F.max("n"), F.lit(0)).alias("most"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
+        F.coalesce(F.max(F.col("doc_id").isNull()), F.lit(False)).alias("unnamed")).first()
+    return seen["most"] <= 1 and not seen["unnamed"] and (seen["low"] or 0) >= 0 and (seen["high"] or 0) < LARGEST_ID
+
+
 def with_row_ids(docs: DataFrame, first: int = 0, copies: int = 1) -> DataFrame:
     """Add row_id, the physical document, in doc_id order; each document `copies` times.
 
-    Ids are unique within one batch, so row_id needs no numbering pass.
+    Where the ids can serve as row ids they do. Where ids repeat (or are missing, negative
+    or hashes of 64 bits), rows are numbered from `first` on in the order of id, then text: sorted
+    over ranges of ids, each range counted, and the counts before it added. A row's
+    number never depends on another row having a different id. A column row_id is replaced.
     """
+    docs = docs.drop("row_id")
+    if ids_can_number(docs):
+        numbered = docs.withColumn("row_id", F.col("doc_id") + F.lit(first))
+    else:
+        text = [F.xxhash64(c) for c in ("contents",) if c in docs.columns]
+        sorted_ = keep(docs.repartitionByRange("doc_id", *text).sortWithinPartitions("doc_id", *text).withColumns(
+            {"part": F.spark_partition_id(), "at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}))
+        before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+        offsets = sorted_.groupBy("part").agg(F.count("*").alias("n")).select("part", before.alias("before"))  # a row per range
+        numbered = sorted_.join(F.broadcast(offsets), "part").withColumn(
+            "row_id", F.lit(first) + F.col("before") + F.col("at")).drop("part", "at", "before")
     if copies == 1:
-        return docs.withColumn("row_id", F.col("doc_id") + F.lit(first))
-    return (docs.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-            .withColumn("row_id", F.lit(first) + F.col("doc_id") * copies + F.col("copy")).drop("copy"))
+        return numbered
+    return (numbered.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+            .withColumn("row_id", F.lit(first) + (F.col("row_id") - first) * copies + F.col("copy")).drop("copy"))
 
 
 def postings(docs: DataFrame, positions: bool = False, text: str = "contents") -> DataFrame:
@@ -67,9 +93,9 @@ def term_stats(posts: DataFrame) -> DataFrame:
 
 
 def merge_term_stats(parts: DataFrame) -> DataFrame:
-    """Statistics of several batches as one; no posting is read again."""
+    """Statistics of several batches as one; no posting is read again. Batches of removed documents count negative."""
     return parts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"),
-                                    F.max("top_ratio").alias("top_ratio"))
+                                    F.max("top_ratio").alias("top_ratio")).where("df > 0")
 
 
 def coll_stats(documents: DataFrame) -> DataFrame:
@@ -94,15 +120,33 @@ def merge_coll_stats(parts: DataFrame) -> DataFrame:
     return parts.agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
 
 
+def _behind(old: Index, new: Index) -> Index:
+    """`new` with row ids above all of `old`."""
+    last = old.coll_stats.agg(F.max("last_row").alias("n")).first()["n"]
+    start = new.coll_stats.agg(F.min("first_row").alias("n")).first()["n"]
+    if last is None or start is None or start > last:
+        return new
+    up = F.lit(last + 1 - start)
+    moved = {t: getattr(new, t).withColumn("row_id", F.col("row_id") + up) for t in ("documents", "postings")}
+    stats = new.coll_stats.withColumns({c: F.col(c) + up for c in ("first_row", "last_row")})
+    return Index(moved["documents"], moved["postings"], new.term_stats, stats)
+
+
 def merge_index(old: Index, new: Index) -> Index:
-    """Append: all tables of both; statistics are merged on use, not recounted."""
+    """Append: all tables of both, the new rows numbered behind the old ones; statistics are merged on use, not recounted."""
+    new = _behind(old, new)
     return Index(*[getattr(old, t).unionByName(getattr(new, t))
                    for t in ("documents", "postings", "term_stats", "coll_stats")])
 
 
 def upsert_index(old: Index, new: Index) -> Index:
-    """Documents of `new` replace those of `old` with the same doc_id."""
-    gone = old.documents.join(new.documents.select("doc_id"), "doc_id", "left_semi").select("row_id")
-    documents = old.documents.join(gone, "row_id", "left_anti").unionByName(new.documents)
-    posts = old.postings.join(gone, "row_id", "left_anti").unionByName(new.postings)
-    return Index(documents, posts, term_stats(posts), coll_stats(documents))
+    """Documents of `new` replace those of `old` with the same doc_id; only the replaced ones are subtracted from the statistics."""
+    gone = old.documents.join(new.documents.select("doc_id").distinct(), "doc_id", "left_semi").select("row_id", "dl")
+    rows = gone.select("row_id")
+    lost = term_stats(old.postings.join(rows, "row_id", "left_semi")).select(
+        "term", (-F.col("df")).alias("df"), (-F.col("cf")).alias("cf"), "top_ratio")
+    fewer = gone.agg((-F.count("*")).alias("n_docs"), (-F.coalesce(F.sum("dl"), F.lit(0))).alias("n_tokens")).select(
+        "*", *[F.lit(None).cast("bigint").alias(c) for c in ("first_row", "last_row")])
+    left = Index(old.documents.join(rows, "row_id", "left_anti"), old.postings.join(rows, "row_id", "left_anti"),
+                 old.term_stats.unionByName(lost), old.coll_stats.unionByName(fewer))
+    return merge_index(left, new)

@@ -17,10 +17,25 @@ from ranklab.functions import distributions as ds
 DIFF_DIGITS = 9
 
 
-def pair_samples(a: DataFrame, b: DataFrame, on: Sequence[str] = ("query_id",)) -> DataFrame:
-    """Pair two lists of values by key: topic ids, or the line position for files."""
-    return (a.withColumnRenamed("value", "a").join(b.withColumnRenamed("value", "b"), list(on))
-            .where("a is not null and b is not null"))
+def pair_samples(a: DataFrame, b: DataFrame, on: Sequence[str] = ("query_id",), strict: bool = False) -> DataFrame:
+    """Pair two lists of values by key: topic ids, or the line position for files.
+
+    `strict`: a value without a partner is an error, as it is for lists whose lines belong
+    together. Otherwise `unpaired` counts what is left out.
+    """
+    one, two = a.withColumnRenamed("value", "a"), b.withColumnRenamed("value", "b")
+    if not strict:
+        return one.join(two, list(on)).where("a is not null and b is not null")
+    both = one.join(two, list(on), "full")
+    return both.select(*[c for c in both.columns if c not in ("a", "b")], *[
+        F.coalesce(c, F.raise_error(F.lit(f"a pair of values without {c}")).cast("double")).alias(c) for c in ("a", "b")])
+
+
+def unpaired(a: DataFrame, b: DataFrame, on: Sequence[str] = ("query_id",)) -> DataFrame:
+    """One row (only_a, only_b): how many values have no partner."""
+    one, two = a.where("value is not null").select(*on, F.lit(1).alias("a")), b.where("value is not null").select(*on, F.lit(1).alias("b"))
+    return one.join(two, list(on), "full").agg(F.count_if(F.col("b").isNull()).alias("only_a"),
+                                               F.count_if(F.col("a").isNull()).alias("only_b"))
 
 
 def _differences(pairs: DataFrame, sign: int = 1) -> DataFrame:

@@ -90,6 +90,6 @@ def train_and_test(index: Index, train: DataFrame, test: DataFrame, qrels: DataF
 
 
 def compare(a: DataFrame, b: DataFrame, alpha: float, on: str = "pos", zero_method: str = "keep") -> DataFrame:
-    """Both paired tests for two lists of (on, value)."""
-    pairs = sg.pair_samples(a, b, [on]).withColumn("pair", F.lit("a-b"))
+    """Both paired tests for two lists of (on, value); lists paired by position must be equally long."""
+    pairs = sg.pair_samples(a, b, [on], strict=on == "pos").withColumn("pair", F.lit("a-b"))
     return sg.paired_tests(pairs, ["pair"], alpha, zero_method)

@@ -110,7 +110,7 @@ def _stored_terms(spark, path):
 
 def _languages(spark, sf):
     docs = raw_documents(spark, sf).select("doc_id", F.col("text").alias("contents"), "lang")
-    return docs.where("lang = 'en'"), docs.where("lang <> 'en'")
+    return docs.where("lang = 'en'"), docs.where("not (lang <=> 'en')")
 
 
 @query

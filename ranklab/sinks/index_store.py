@@ -15,13 +15,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ranklab.operators import index as ix
-from ranklab.session import estimated_bytes
 
-# Input bytes per bucket (as stored, so compressed), and the most buckets to make.
-BUCKET_BYTES = 32 * 1024 * 1024
-MAX_BUCKETS = 1_000_000
-# A size estimate this large (a petabyte) stands for "not known".
-UNKNOWN_BYTES = 10 ** 15
+# Text bytes per bucket.
+BUCKET_BYTES = 512 * 1024 * 1024
 
 # Columns in the order they are written, and the order of rows inside a bucket.
 _TABLES = {
@@ -31,13 +27,9 @@ _TABLES = {
 
 
 def bucket_count(docs: DataFrame) -> int:
-    """At least one bucket per core, more when the estimated input is large; where
-    Catalyst has no believable estimate, the session's number of shuffle partitions."""
-    spark = docs.sparkSession
-    size = estimated_bytes(docs)
-    if size >= UNKNOWN_BYTES:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(spark.sparkContext.defaultParallelism, min(MAX_BUCKETS, -(-size // BUCKET_BYTES)))
+    """At least one bucket per core, more when the text, whose bytes are counted, is large."""
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("contents")), F.lit(0)).alias("n")).first()["n"]
+    return max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
 
 
 def _name(path: str, name: str) -> str:
@@ -62,8 +54,10 @@ def _write(docs: DataFrame, path: str, buckets: int, above: int | None) -> None:
     """Write one batch of (doc_id, contents); `above` is the highest row_id stored so far."""
     spark = docs.sparkSession
     fresh = above is None
-    first = 0 if fresh else above + 1 - (docs.agg(F.min("doc_id").alias("low")).first()["low"] or 0)
-    rows = ix.with_row_ids(docs.select("doc_id", "contents"), first).repartition(buckets, "row_id")
+    low = docs.agg(F.min("doc_id").alias("low")).first()["low"] or 0
+    first = 0 if fresh else above + 1 - low
+    docs = docs.select("doc_id", "contents")
+    rows = ix.with_row_ids(docs, first if fresh or ix.ids_can_number(docs) else above + 1).repartition(buckets, "row_id")
 
     posts = _register(spark, path, "postings", buckets)
     ix.postings(rows).write.insertInto(posts, overwrite=fresh)

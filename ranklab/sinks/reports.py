@@ -44,7 +44,7 @@ def _stack(*parts: DataFrame) -> DataFrame:
 
 
 def write_lines(lines: DataFrame, path: str) -> None:
-    (lines.orderBy("section", "query_id", "line_no").select("value")
+    (lines.orderBy("section", "query_id", "line_no", "value").select("value")
      .write.mode("overwrite").text(path))
 
 

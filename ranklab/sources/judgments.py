@@ -7,10 +7,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 QRELS_SCHEMA = "query_id BIGINT, iter BIGINT, doc_id BIGINT, rel BIGINT"
 
 
-def read_qrels(spark: SparkSession, path: str) -> DataFrame:
-    """(query_id, doc_id): columns 0 and 2; the other two are read and ignored."""
-    return (spark.read.schema(QRELS_SCHEMA).csv(path, sep=" ")
-            .select("query_id", "doc_id").where("query_id is not null and doc_id is not null"))
+def read_qrels(spark: SparkSession, path: str, least_rel: int | None = None) -> DataFrame:
+    """(query_id, doc_id): columns 0 and 2. A line that is no judgment is an error.
+
+    The grade is ignored, so every line is a relevant document, unless `least_rel` is given:
+    then only lines of that grade or more are.
+    """
+    rows = spark.read.schema(QRELS_SCHEMA).option("mode", "FAILFAST").csv(path, sep=" ")
+    told = rows.select(*[F.coalesce(c, F.raise_error(F.lit(f"a judgment without {c}")).cast("bigint")).alias(c)
+                         for c in ("query_id", "doc_id")], "rel")
+    return (told if least_rel is None else told.where(F.col("rel") >= least_rel)).select("query_id", "doc_id")
 
 
 def qrels_lines(qrels: DataFrame) -> DataFrame:

@@ -29,13 +29,15 @@ def records_in(chunks: DataFrame, text: str = "value") -> DataFrame:
                     .otherwise("").alias("contents")))
 
 
-def read_records(spark: SparkSession, path: str, skip_unreadable: bool = True) -> DataFrame:
+def read_records(spark: SparkSession, path: str, skip_unreadable: bool = False, line_end: str = "\n") -> DataFrame:
     """(path, doc_id, contents) of every file below a folder, or of one file.
 
-    The record end is the line separator, so a large file is split over tasks;
-    other spellings of the `/` line (blanks around it) are handled in `records_in`.
+    The record end is the line separator, so a large file is split over tasks: with
+    `line_end` "\\r\\n" for files of that kind. Other spellings of the `/` line (blanks
+    around it) are handled in `records_in`. A file that cannot be read is an error;
+    with `skip_unreadable` Spark logs its path and goes on.
     """
-    chunks = (spark.read.option("recursiveFileLookup", True).option("lineSep", "\n/\n")
+    chunks = (spark.read.option("recursiveFileLookup", True).option("lineSep", f"{line_end}/{line_end}")
               .option("ignoreCorruptFiles", skip_unreadable).text(path)
               .select(F.col("_metadata.file_path").alias("path"), "value"))
     return records_in(chunks)
@@ -46,10 +48,10 @@ def record_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return docs.withColumn("value", F.concat(F.col(key).cast("string"), F.lit("\n"), F.col(text), F.lit("\n/")))
 
 
-def read_collection(spark: SparkSession, path: str) -> DataFrame:
+def read_collection(spark: SparkSession, path: str, skip_unreadable: bool = False, line_end: str = "\n") -> DataFrame:
     """(doc_id, contents): a path with `.ALL` or `.all` in it is a tagged collection,
     any other one a folder of document files."""
     if ".ALL" in path or ".all" in path:
         return read_tagged(spark, path).select(
             "doc_id", tx.join_lines_space(F.split("body", "\n")).alias("contents"))
-    return read_records(spark, path).select("doc_id", "contents")
+    return read_records(spark, path, skip_unreadable, line_end).select("doc_id", "contents")

@@ -12,7 +12,7 @@ def read_samples(spark: SparkSession, path: str) -> DataFrame:
 
     Splits are numbered, not lines: each split reports its number of lines, a
     running sum over the (few) splits gives each its first position, and within
-    a split the line order is the read order.
+    a split the line order is the read order. A line whose last part is no number is an error.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
@@ -23,4 +23,5 @@ def read_samples(spark: SparkSession, path: str) -> DataFrame:
     placed = splits.select("file", "start", "first", before.alias("offset"))
     return (lines.join(placed, ["file", "start"])
             .select((F.col("offset") + F.col("at") - F.col("first")).alias("pos"),
-                    tx.parse_double(tx.split_pick(F.col("value"), -1)).alias("value")))
+                    F.coalesce(tx.parse_double(tx.split_pick(F.col("value"), -1)), F.raise_error(F.concat(
+                        F.lit("no number ends the line: "), F.col("value"))).cast("double")).alias("value")))

@@ -4,8 +4,8 @@ import pytest
 
 import __spark_entry__ as entry_point
 import oracle
-
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+from ranklab.registry.oracles import ORACLES as SQL
+from ranklab.registry.queries import REGISTRY as QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +15,7 @@ def con(sf):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert QUERIES.items() <= entry_point.queries().items() and SQL.items() <= entry_point.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

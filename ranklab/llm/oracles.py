@@ -2,4 +2,40 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+# Words of both: A-Z lower-cased, then runs of what is no ASCII mark, blank or control character.
+_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+ORACLES: dict[str, str] = {
+    "op3_url_filters": r"""
+        with parts as (select page_id, coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), '') as raw,
+                              coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') as path from pages),
+             own as (select page_id, path, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host from parts),
+             rules(h, p, v) as (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+                                       ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+             fitting as (select page_id, arg_max(struct_pack(rule := h || p, v := v), length(h || p)) as best from own, rules
+                         where (host = h or ends_with(host, '.' || h)) and starts_with(path, p) group by page_id)
+        select page_id, host, path, best.rule as rule, coalesce(best.v, 'allow') as verdict from own left join fitting using (page_id)""",
+}
+
+
+def decontamination(columns: str) -> str:
+    """Hit words by counting every window of the lengths that items have (10 words, or a shorter whole item)."""
+    return f"""
+        with d as (select doc_id, {_WORDS} as w from documents),
+             b as (select item_id, {_WORDS} as w from benchmark),
+             i as (select item_id, least(10, len(w)) as k, unnest(range(1, len(w) - least(10, len(w)) + 2)) as pos, w from b where len(w) > 0),
+             windows as (select distinct item_id, k, array_to_string(list_slice(w, pos, pos + k - 1), ' ') as s from i),
+             places as (select doc_id, k, unnest(range(1, len(w) - k + 2)) as pos, w from d, (select distinct k from windows) where len(w) >= k),
+             found as (select doc_id, pos, p.k, item_id from (select doc_id, k, pos, array_to_string(list_slice(w, pos, pos + k - 1), ' ') as s from places) p
+                       join windows x on p.s = x.s and p.k = x.k),
+             hit as (select doc_id, count(distinct n) as n_hit from (select doc_id, unnest(range(pos, pos + k)) as n from found) group by doc_id),
+             items as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as ids
+                       from (select distinct doc_id, item_id::varchar as item from found) group by doc_id)
+        select {columns} from d left join hit using (doc_id) left join items using (doc_id)"""
+
+
+# The query's further columns tell the longest match, which SQL has no short way to find: see the tests.
+ORACLES["op6_benchmark_decontamination"] = decontamination(
+    "doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, "
+    "sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated")

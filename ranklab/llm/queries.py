@@ -34,7 +34,8 @@ def op1_best_fit_packing(spark, sf):
 
 @query
 def op6_benchmark_decontamination(spark, sf):
-    return decontaminate.digest(decontaminate.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark")))
+    found = decontaminate.digest(decontaminate.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark")))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 @query

@@ -267,10 +267,10 @@ def test_quality_rules(spark, sf, texts):
 def test_robust_distances_find_planted_outliers(spark):
     rng = random.Random(6)
     plain = [" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8))) for _ in range(rng.randint(60, 200))) for _ in range(300)]
-    odd = ["$$$ " * 3 + " ".join(w + "###" for w in t.split()) for t in plain[:90]]      # a quarter: they may not pull the estimate
-    docs = [(i, t, "en", "s") for i, t in enumerate(plain[90:] + odd)]
+    odd = ["$$$ " * 3 + " ".join(w + "###" for w in t.split()) for t in plain[:60]]      # a fifth: they may not pull the estimate
+    docs = [(i, t, "en", "s") for i, t in enumerate(plain[60:] + odd)]
     out = quality_rules.judge(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")).collect()
-    assert all(r["kept"] == (r["doc_id"] < 210) for r in out)
+    assert all(r["kept"] == (r["doc_id"] < 240) for r in out)
     x = spark.createDataFrame([(float(i % 7), float(i % 5) + i % 7) for i in range(100)], "x0 double, x1 double")
     x = x.select(F.lit("a").alias("g_lang"), F.lit("b").alias("g_source"), "*", *[F.lit(0.0).alias(f"x{i}") for i in range(2, quality_rules.P)])
     r = quality_rules._inverted(quality_rules._moments(x, quality_rules.GROUP), 1.0).first()

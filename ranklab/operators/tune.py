@@ -21,10 +21,12 @@ def grid_topics(topics: DataFrame, lams: Sequence[float] = sc.LAMBDAS) -> DataFr
 
 def grid_metrics(index: Index, topics: DataFrame, terms: sc.TopicTerms, qrels: DataFrame, cut: int,
                  metric: str = "MAP", lams: Sequence[float] = sc.LAMBDAS,
-                 compat: Compat = STANDARD) -> DataFrame:
-    """(query_id, lam, value): the metric of every cell of the grid."""
+                 compat: Compat = STANDARD, ranked: DataFrame | None = None) -> DataFrame:
+    """(query_id, lam, value): the metric of every cell of the grid. `ranked`: a stored run of it."""
     by = ("query_id", "lam")
-    judged = ev.judge(sc.run_grid(index, terms, cut, lams, compat), qrels)
+    if ranked is None:
+        ranked = sc.run_grid(index, terms, cut, lams, compat)
+    judged = ev.judge(ranked.where(F.col("rank") <= cut), qrels)
     cells = ev.evaluate(judged, qrels, grid_topics(topics, lams), cut, by, keep_all(compat))
     return ev.select_metric(cells, metric, by)
 
@@ -49,7 +51,7 @@ def lambda_means(grid: DataFrame, compat: Compat = STANDARD) -> DataFrame:
 
 def best_lambda(grid: DataFrame, compat: Compat = STANDARD) -> DataFrame:
     """One row (lam, value): best mean, smallest lambda on ties; in compat mode
-    the first highest single cell in topic, then lambda order."""
+    the first highest single cell in topic, then lambda order, or lambda 0 where all cells are 0."""
     if compat.best_single_cell:
         rows, order = grid.select("query_id", "lam", F.round("value", VALUE_DIGITS).alias("value")), ["query_id", "lam"]
     else:
@@ -57,7 +59,10 @@ def best_lambda(grid: DataFrame, compat: Compat = STANDARD) -> DataFrame:
             "lam", F.round("mean_value", VALUE_DIGITS).alias("value")), ["lam"]
     # A minimum over ordered structs keeps one row per task; nothing is sorted.
     first = F.min(F.struct((-F.col("value")).alias("lowest"), *order, "value"))
-    return rows.where("value is not null").agg(first.alias("best")).select("best.lam", "best.value")
+    best = rows.where("value is not null").agg(first.alias("best")).select("best.lam", "best.value")
+    if compat.best_single_cell:
+        best = best.withColumn("lam", F.when(F.col("value") > 0, F.col("lam")).otherwise(0.0))
+    return best
 
 
 def heldout(index: Index, topics: DataFrame, terms: sc.TopicTerms, qrels: DataFrame, cut: int,

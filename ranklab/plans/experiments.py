@@ -45,12 +45,12 @@ class SearchResult:
 
 def search_and_evaluate(index: Index, topics: DataFrame, qrels: DataFrame, model: str = "tfidf",
                         lam: float = 0.5, cut: int = 10, compat: Compat = STANDARD,
-                        terms: sc.TopicTerms | None = None) -> SearchResult:
-    """All topics against all documents, then the metrics at `cut`."""
+                        terms: sc.TopicTerms | None = None, ranked: DataFrame | None = None) -> SearchResult:
+    """All topics against all documents, then the metrics at `cut`. `ranked`: a stored run of that search."""
     if cut <= 0:
         raise ValueError("cut must be at least 1")
     terms = terms or sc.measure_terms(topics)
-    ranked = sc.run(index, terms, cut, model, lam, compat)
+    ranked = sc.run(index, terms, cut, model, lam, compat) if ranked is None else ranked.where(F.col("rank") <= cut)
     judged_pairs = ev.judgments(qrels, compat)
     ids = topics.select("query_id")
     metrics = ev.evaluate(ev.judge(ranked, judged_pairs), judged_pairs, ids, cut, compat=compat)
@@ -58,10 +58,11 @@ def search_and_evaluate(index: Index, topics: DataFrame, qrels: DataFrame, model
 
 
 def evaluate_tfidf(index: Index, topics: DataFrame, qrels: DataFrame, cut: int, metric: str,
-                   compat: Compat = STANDARD, terms: sc.TopicTerms | None = None) -> DataFrame:
+                   compat: Compat = STANDARD, terms: sc.TopicTerms | None = None,
+                   ranked: DataFrame | None = None) -> DataFrame:
     """(query_id, value): one metric per topic under TF-IDF; topics without hits stay."""
     result = search_and_evaluate(index, topics, qrels, "tfidf", cut=cut,
-                                 compat=tune.keep_all(compat), terms=terms)
+                                 compat=tune.keep_all(compat), terms=terms, ranked=ranked)
     return ev.select_metric(result.metrics, metric)
 
 
@@ -75,14 +76,15 @@ class TrainingResult:
 def train_and_test(index: Index, train: DataFrame, test: DataFrame, qrels: DataFrame, cut: int,
                    metric: str = "MAP", compat: Compat = STANDARD,
                    train_terms: sc.TopicTerms | None = None,
-                   test_terms: sc.TopicTerms | None = None) -> TrainingResult:
+                   test_terms: sc.TopicTerms | None = None, ranked: DataFrame | None = None) -> TrainingResult:
     """Jelinek-Mercer: the lambda chosen on one set of topics, reported on another.
 
-    The chosen lambda reaches the held-out search as a subquery, not over the driver.
+    The chosen lambda reaches the held-out search as a subquery, not over the driver. `ranked`:
+    a stored run of the training topics under all lambdas.
     """
     pairs = ev.judgments(qrels, compat)
     grid = keep(tune.grid_metrics(index, train, train_terms or sc.measure_terms(train), pairs, cut, metric,
-                                  compat=compat))
+                                  compat=compat, ranked=ranked))
     best = tune.best_lambda(grid, compat)
     values = tune.heldout(index, test, test_terms or sc.measure_terms(test), pairs, cut,
                           best.select("lam").scalar(), metric, compat)

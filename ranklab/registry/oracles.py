@@ -48,7 +48,7 @@ _TWO = dict(q="qtf", ts="ts2", post="post2", len="norm2", cs="cs2")
 _part("sc", "qt ts post len cs", _TFIDF.format(**_ONE))
 _part("sc2", "qtf ts2 post2 norm2 cs2", _TFIDF.format(**_TWO))
 _part("jm", "qt ts post len cs", _JM.format(**_ONE, lams=_LAMBDAS))
-_part("jm2", "qt ts2 post2 norm2 cs2", _JM.format(**{**_TWO, "q": "qt"}, lams=_LAMBDAS))
+_part("jm2", "qtf ts2 post2 norm2 cs2", _JM.format(**_TWO, lams=_LAMBDAS))
 
 
 def _rank(scores: str, by: str, cut: int, per_doc: str = "row_id") -> str:
@@ -281,7 +281,7 @@ ORACLES: dict[str, str] = {
     "tr_grid_pivot": _sql("train", f"select query_id, {_UPPER_GRID} from train group by query_id"),
     "tr_lambda_mean": _sql("means", "select lam, round(mean_value, 6) mean_value from means"),
     "tr_best_lambda": _sql("best", "select lam, round(mean_value, 6) as value from best"),
-    "tr_best_lambda_compat": _sql("grid2_m half", """select lam, round(hits / 5, 6) as value from grid2_m, half
+    "tr_best_lambda_compat": _sql("grid2_m half", """select case when hits > 0 then lam else 0.0::DOUBLE end as lam, round(hits / 5, 6) as value from grid2_m, half
         where 2 * query_id <= middle order by hits desc, query_id, lam limit 1"""),
     "tr_heldout": _sql("held", "select query_id, round(ap, 6) as value from held"),
     # paired tests
@@ -293,6 +293,7 @@ ORACLES: dict[str, str] = {
     "st_wilcoxon_pvalue": _sql("wp", "select metric, lam, round(z, 6) z, round(p_w, 6) p_w from wp"),
     # set operations
     "set_relevant_retrieved": _sql("run qrels", "select query_id, doc_id from run intersect select query_id, doc_id from qrels"),
-    "set_union_topics": _sql("topics", "select * from topics"),
+    "set_union_topics": _sql("topics", """select query_id, case when query_id = 3 then 'last ' when query_id between 2 and 10
+        then 'later ' else '' end || text as text from topics"""),
 }
 ORACLES["ix_term_vectors"] = ORACLES["ix_positions"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -160,7 +161,8 @@ def _written(spark, lines, name):
 def _search(spark, sf, model="tfidf", lam=0.5, compat=Compat(), cut=CUT):
     e = experiment(spark, sf)
     terms = e.fused_terms if compat.fuse_lines else e.terms
-    return e, ex.search_and_evaluate(e.index, e.topics, e.qrels, model, lam, cut, compat, terms)
+    ranked = setup.stored_run(spark, sf, "tfidf") if model == "tfidf" and compat == Compat() and cut <= CUT else None
+    return e, ex.search_and_evaluate(e.index, e.topics, e.qrels, model, lam, cut, compat, terms, ranked)
 
 
 @query
@@ -179,8 +181,9 @@ def snk_metrics_csv(spark, sf):
 def _training(spark, sf, compat=Compat()):
     e = experiment(spark, sf)
     train, test = e.halves()
+    ranked = setup.stored_run(spark, sf, "grid").join(F.broadcast(train.topics.select("query_id")), "query_id", "left_semi")
     return ex.train_and_test(e.index, train.topics, test.topics, e.qrels, TRAIN_CUT, "MAP", compat,
-                             train.terms, test.terms)
+                             train.terms, test.terms, ranked)
 
 
 @query
@@ -202,7 +205,8 @@ def snk_heldout_csv(spark, sf):
 @query
 def snk_tfidf_eval_csv(spark, sf):
     e = experiment(spark, sf)
-    values = ex.evaluate_tfidf(e.index, e.topics, e.qrels, TRAIN_CUT, "MAP", terms=e.terms)
+    values = ex.evaluate_tfidf(e.index, e.topics, e.qrels, TRAIN_CUT, "MAP", terms=e.terms,
+                               ranked=setup.stored_run(spark, sf, "tfidf"))
     return _written(spark, reports.tfidf_eval_csv(values, "MAP", TRAIN_CUT),
                     reports.training_name("documents", None, "all", "MAP", TRAIN_CUT, "test"))
 
@@ -447,7 +451,7 @@ def _pairs(spark, sf):
     """(metric, lam, query_id, a, b): Jelinek-Mercer under each lambda against TF-IDF."""
     e = experiment(spark, sf)
     by = ("query_id", "lam")
-    jm = ev.evaluate(ev.judge(sc.run_grid(e.index, e.terms, TRAIN_CUT), e.qrels), e.qrels,
+    jm = ev.evaluate(ev.judge(setup.stored_run(spark, sf, "grid"), e.qrels), e.qrels,
                      tune.grid_topics(e.topics), TRAIN_CUT, by)
     tfidf = _search(spark, sf, cut=TRAIN_CUT)[1].metrics
     return sg.pair_samples(_metric_values(jm, "lam"), _metric_values(tfidf), ["query_id", "metric"])
@@ -567,7 +571,8 @@ def ev_report_with_total(spark, sf):
 @query
 def ev_tfidf_topics(spark, sf):
     e = experiment(spark, sf)
-    return ex.evaluate_tfidf(e.index, e.topics, e.qrels, TRAIN_CUT, "MAP", terms=e.terms).select("query_id", r6("value"))
+    return ex.evaluate_tfidf(e.index, e.topics, e.qrels, TRAIN_CUT, "MAP", terms=e.terms,
+                             ranked=setup.stored_run(spark, sf, "tfidf")).select("query_id", r6("value"))
 
 
 # ---- training ------------------------------------------------------------------
@@ -602,12 +607,12 @@ def tr_best_lambda(spark, sf):
 @query
 def tr_best_lambda_compat(spark, sf):
     e = experiment(spark, sf)
-    train = e.halves()[0]
+    train = replace(e, terms=e.fused_terms).halves()[0]
     grid = tune.grid_metrics(e.index, train.topics, train.terms, e.qrels, TRAIN_CUT, compat=COPIES_TRAINING)
     return tune.best_lambda(grid, COPIES_TRAINING).select("lam", r6("value"))
 
 
-COPIES_TRAINING = Compat(copies=2, quantize=True, hits_over_cut=True, best_single_cell=True, dedupe_judgments=False)
+COPIES_TRAINING = Compat(copies=2, quantize=True, fuse_lines=True, hits_over_cut=True, best_single_cell=True, dedupe_judgments=False)
 
 
 @query
@@ -662,4 +667,6 @@ def set_relevant_retrieved(spark, sf):
 @query
 def set_union_topics(spark, sf):
     topics = setup.topics(spark, sf)
-    return tagged.union_topics(topics, tagged.select_topics(topics, "2-10"), tagged.select_topics(topics, "3"))
+    later, last = [tagged.select_topics(topics, ids).withColumn("text", F.concat(F.lit(word), "text"))
+                   for ids, word in (("2-10", "later "), ("3", "last "))]
+    return tagged.union_topics(topics, later, last)

@@ -23,6 +23,7 @@ RARE_SHARE = 0.02
 RARE_TERMS = 2
 
 _prepared: dict[tuple, "Experiment"] = {}
+_runs: dict[tuple, DataFrame] = {}
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -81,3 +82,12 @@ def experiment(spark: SparkSession, sf: str) -> Experiment:
     if key not in _prepared:
         _prepared[key] = _prepare(spark, sf)
     return _prepared[key]
+
+
+def stored_run(spark: SparkSession, sf: str, model: str) -> DataFrame:
+    """The ranking of all topics under TF-IDF, or under every lambda (`grid`), stored on first use like the index."""
+    key = (spark.sparkContext.applicationId, id(spark), sf, model)
+    if key not in _runs:
+        e = experiment(spark, sf)
+        _runs[key] = keep(sc.run(e.index, e.terms, CUT) if model == "tfidf" else sc.run_grid(e.index, e.terms, TRAIN_CUT))
+    return _runs[key]

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -54,7 +55,7 @@ class Ids:
         return cls._open[path]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, text: str) -> bytes:
         if not _PLAIN.fullmatch(text):

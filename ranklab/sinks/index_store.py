@@ -5,6 +5,11 @@ postings of a document into one bucket. Every later search then joins the
 broadcast topic terms, sums the scores and takes the local top k without moving
 a posting; only k rows per task and topic are shuffled. A term that fills a
 third of all postings is spread over all buckets like any other.
+
+A batch counts from the moment its row in `coll_stats` is written, which is last.
+Before it writes anything it leaves its first row id in `intents`. Readers take
+only the row ids and term statistics of counted batches, so what a failed write
+left is never seen, and the next batch is numbered behind it.
 """
 
 from __future__ import annotations
@@ -19,6 +24,8 @@ from ranklab.operators import index as ix
 # Text bytes per bucket.
 BUCKET_BYTES = 512 * 1024 * 1024
 
+_COLL_STATS = "n_docs BIGINT, n_tokens BIGINT, first_row BIGINT, last_row BIGINT"
+
 # Columns in the order they are written, and the order of rows inside a bucket.
 _TABLES = {
     "documents": ("row_id BIGINT, doc_id BIGINT, dl INT", "row_id"),
@@ -54,10 +61,15 @@ def _write(docs: DataFrame, path: str, buckets: int, above: int | None) -> None:
     """Write one batch of (doc_id, contents); `above` is the highest row_id stored so far."""
     spark = docs.sparkSession
     fresh = above is None
+    start = 0 if fresh else above + 1
+    mode = "overwrite" if fresh else "append"
+    if fresh:  # from here on nothing of an index that lay here counts
+        spark.createDataFrame([], f"{_COLL_STATS}, batch BIGINT").write.mode(mode).parquet(f"{path}/coll_stats")
+    spark.createDataFrame([(start,)], "batch BIGINT").write.mode(mode).parquet(f"{path}/intents")
     low = docs.agg(F.min("doc_id").alias("low")).first()["low"] or 0
-    first = 0 if fresh else above + 1 - low
+    first = 0 if fresh else start - low
     docs = docs.select("doc_id", "contents")
-    rows = ix.with_row_ids(docs, first if fresh or ix.ids_can_number(docs) else above + 1).repartition(buckets, "row_id")
+    rows = ix.with_row_ids(docs, first if fresh or ix.ids_can_number(docs) else start).repartition(buckets, "row_id")
 
     posts = _register(spark, path, "postings", buckets)
     ix.postings(rows).write.insertInto(posts, overwrite=fresh)
@@ -70,11 +82,10 @@ def _write(docs: DataFrame, path: str, buckets: int, above: int | None) -> None:
      .select("row_id", "doc_id", F.coalesce("dl", F.lit(0)).alias("dl"))
      .write.insertInto(documents, overwrite=fresh))
 
-    mode = "overwrite" if fresh else "append"
-    ix.term_stats(batch).write.mode(mode).parquet(f"{path}/term_stats")
+    ix.term_stats(batch).withColumn("batch", F.lit(start).cast("bigint")).write.mode(mode).parquet(f"{path}/term_stats")
     spark.catalog.refreshTable(documents)
     added = spark.table(documents) if fresh else spark.table(documents).where(F.col("row_id") > above)
-    ix.coll_stats(added).write.mode(mode).parquet(f"{path}/coll_stats")
+    ix.coll_stats(added).withColumn("batch", F.lit(start).cast("bigint")).write.mode("append").parquet(f"{path}/coll_stats")
 
 
 def create_index(docs: DataFrame, path: str, buckets: int | None = None) -> None:
@@ -90,7 +101,12 @@ def append_index(docs: DataFrame, path: str) -> None:
     """Add documents behind the stored ones. Only the new ones are tokenised and counted."""
     spark = docs.sparkSession
     buckets = spark.read.parquet(f"{path}/layout").first()["buckets"]
-    above = spark.read.parquet(f"{path}/documents").agg(F.max("row_id").alias("high")).first()["high"]
+    counted = _batches(spark, path)
+    above = max((r["last_row"] for r in counted if r["last_row"] is not None), default=-1)
+    begun = {r["batch"] for r in spark.read.parquet(f"{path}/intents").collect()}
+    if begun - {r["batch"] for r in counted}:   # a write failed: number behind whatever it left
+        left = _stored(spark, path, "postings", buckets).select("row_id").union(_stored(spark, path, "documents", buckets).select("row_id"))
+        above = max(above, *begun, left.agg(F.max("row_id").alias("n")).first()["n"] or 0)
     _write(docs, path, buckets, above)
 
 
@@ -111,14 +127,33 @@ def write_index(docs: DataFrame, path: str, mode: str = "create", lenient: bool
     writers.get(mode, create_index)(docs, path)
 
 
+def _batches(spark: SparkSession, path: str) -> list:
+    """One row for each counted batch."""
+    return spark.read.schema(f"{_COLL_STATS}, batch BIGINT").parquet(f"{path}/coll_stats").collect()
+
+
+def _stored(spark: SparkSession, path: str, name: str, buckets: int) -> DataFrame:
+    return spark.table(_register(spark, path, name, buckets))
+
+
 def open_index(spark: SparkSession, path: str) -> ix.Index:
     """The stored tables. Statistics hold one part per batch; their users add them up."""
     buckets = spark.read.parquet(f"{path}/layout").first()["buckets"]
-    return ix.Index(
-        spark.table(_register(spark, path, "documents", buckets)),
-        spark.table(_register(spark, path, "postings", buckets)),
-        spark.read.schema("term STRING, df BIGINT, cf BIGINT, top_ratio DOUBLE").parquet(f"{path}/term_stats"),
-        spark.read.schema("n_docs BIGINT, n_tokens BIGINT, first_row BIGINT, last_row BIGINT").parquet(f"{path}/coll_stats"))
+    counted = _batches(spark, path)
+    batches = [r["batch"] for r in counted]
+    begun = spark.read.parquet(f"{path}/intents").count()
+    tables = {name: _stored(spark, path, name, buckets) for name in _TABLES}
+    if begun > len(batches):   # something is stored that does not count
+        inside = F.lit(False)
+        for r in counted:
+            if r["first_row"] is not None:
+                inside = inside | F.col("row_id").between(r["first_row"], r["last_row"])
+        tables = {name: t.where(inside) for name, t in tables.items()}
+    terms = spark.read.schema("term STRING, df BIGINT, cf BIGINT, top_ratio DOUBLE, batch BIGINT").parquet(f"{path}/term_stats")
+    if begun > len(batches):
+        terms = terms.where(F.col("batch").isin(batches))
+    return ix.Index(tables["documents"], tables["postings"], terms.drop("batch"),
+                    spark.read.schema(_COLL_STATS).parquet(f"{path}/coll_stats"))
 
 
 def count_documents(index: ix.Index) -> DataFrame:

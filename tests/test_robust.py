@@ -72,6 +72,25 @@ def test_upsert_replaces_and_subtracts(spark, terms):
     assert found(ix.upsert_index(old, new), terms) == plain(want, "the lens eye")
 
 
+@pytest.mark.parametrize("failing", ["term_stats", "coll_stats"])
+def test_a_failed_write_is_never_seen(spark, terms, monkeypatch, failing):
+    path = shared_folder(spark)
+    store.create_index(frame(spark, TEXTS), path)
+    before = found(store.open_index(spark, path), terms)
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(store.ix, failing, fail)
+        with pytest.raises(RuntimeError):
+            store.append_index(frame(spark, [(8, "the lens"), (9, "an eye")]), path)
+    assert found(store.open_index(spark, path), terms) == before
+    more = [(8, "lens of a lens"), (3, "the eye")]
+    store.append_index(frame(spark, more), path)
+    assert found(store.open_index(spark, path), terms) == plain(TEXTS + more, "the lens eye")
+
+
 def write(spark, text):
     path = f"{tempfile.mkdtemp(prefix='ranklab-test-')}/lines.txt"
     with open(path, "w", newline="") as out:

@@ -95,9 +95,12 @@ def mean_metrics(metrics: DataFrame, n_topics: DataFrame, compat: Compat = STAND
     """
     if compat.mean_divisor == 1:
         return metrics.agg(*[F.avg(m).alias(f"mean_{m}") for m in METRICS])
-    sums = metrics.agg(*[F.coalesce(F.sum(m), F.lit(0.0)).alias(m) for m in METRICS])
+    # The original adds single-precision numbers topic by topic; there is one row per topic.
+    ordered = metrics.agg(*[F.transform(F.array_sort(F.collect_list(F.struct("query_id", F.coalesce(m, F.lit(0.0)).alias("v")))),
+                                        lambda x: x["v"]).alias(m) for m in METRICS])
     n = n_topics.agg(F.count("*").alias("n")).scalar() * compat.mean_divisor
-    return sums.select(*[(F.col(m) / n).alias(f"mean_{m}") for m in METRICS])
+    return ordered.select(*[(tx.float32_sum(F.col(m)) / n.cast("float")).cast("float").cast("double").alias(f"mean_{m}")
+                            for m in METRICS])
 
 
 def pooled_mean(metrics: DataFrame, n_topics: DataFrame) -> DataFrame:

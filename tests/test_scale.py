@@ -141,7 +141,9 @@ def test_merged_and_upserted_index(frames):
     low, high = docs.where("doc_id < 150"), docs.where("doc_id >= 150")
     assert whole == ranking(sc.run(ix.merge_index(ix.build_index(low), ix.build_index(high)), terms, 10))
     stale = ix.build_index(docs.withColumn("contents", F.when(F.col("doc_id") < 50, F.lit("w1 w2 stale")).otherwise(F.col("contents"))))
-    assert whole == ranking(sc.run(ix.upsert_index(stale, ix.build_index(docs.where("doc_id < 50"))), terms, 10))
+    # replaced documents stand behind the others, so ties may be ordered otherwise: all hits are compared by document
+    hits = lambda index: sorted((r.query_id, r.doc_id, round(r.score, 8)) for r in sc.run(index, terms, 1000).collect())
+    assert hits(ix.build_index(docs)) == hits(ix.upsert_index(stale, ix.build_index(docs.where("doc_id < 50"))))
 
 
 def test_create_replaces(spark, frames):

@@ -24,9 +24,9 @@ from ranklab.session import broadcast_if, keep
 SHARE = 0.75                  # of a group's rows that the estimate rests on
 STEPS = 4                     # concentration steps
 LEAST_ROWS = 60               # smaller groups are judged with the other small ones of their language
-REJECT = 1e-7                 # share of normal rows beyond the limit
+REJECT = 1e-3                 # share of normal rows beyond the limit
 # name, floor of its standard deviation
-STATISTICS = (("log_word_length", 0.10), ("root_symbols", 0.15), ("root_dup_lines", 0.15),
+STATISTICS = (("log_word_length", 0.10), ("root_symbols", 0.10), ("root_dup_lines", 0.15),
               ("root_repeats", 0.15), ("log_words", 0.70))
 P = len(STATISTICS)
 PAIRS = list(combinations_with_replacement(range(P), 2))

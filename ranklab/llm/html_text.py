@@ -30,7 +30,8 @@ _TOKEN = re.compile(
     r"|<(script|style|noscript|template|textarea|title|iframe|svg|math|select|object)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<[!?/a-z][^>]*+(?:>|\Z)", re.I | re.S)
-_ATTRIBUTE = re.compile(r"(?<![-\w])(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+# A name with its value, or a stray quoted string, which is no name.
+_ATTRIBUTE = re.compile(r"\"[^\"]*+\"|'[^']*+'|([^\s/>=\"']++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>][^\s>]*+)))?")
 
 # HTML's elements without an end, those that stand in a line, those whose start ends an open one of the same list.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())

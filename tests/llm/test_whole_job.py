@@ -2,7 +2,7 @@
 
 import random
 
-from ranklab.llm import quality_rules
+from ranklab.llm import html_text, quality_rules
 
 
 def test_table_junk_is_rejected_and_prose_kept(spark):
@@ -14,3 +14,16 @@ def test_table_junk_is_rejected_and_prose_kept(spark):
     out = quality_rules.judge(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")).collect()
     assert not any(r["kept"] or r["base_failed"] for r in out if r["doc_id"] >= 300)
     assert sum(not r["kept"] for r in out if r["doc_id"] < 300) <= 3
+
+
+def text(page):
+    return html_text.text_of(html_text.parse(page))
+
+
+def test_attribute_values_are_no_names():
+    kept = ['href="/hidden/beaches.html"', 'title="the hidden cost"', 'href="/x?id=related"', 'href="/a?x=1&class=share"', "title='id=nav'",
+            "href=/a?x=1&class=share", 'data-hidden="1"', 'data-class="nav"', 'title="a" alt="role=search"', '"hidden"', 'href="/x"title="id=ad"']
+    for a in kept:
+        assert text(f"<article><p>one <a {a}>two</a> three<div {a}>four</div></article>") == "one two three four", a
+    for a in ('hidden', 'HIDDEN=""', 'class="x nav"', "id=share", 'role = "search"', 'title="x"hidden', "a=b/ class='ad'", 'href="/hidden" hidden'):
+        assert text(f"<article><p>one <a {a}>two</a> three<div {a}>four</div></article>") == "one three", a

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -27,7 +28,7 @@ LEAST_PAGES = 5    # ... and so many at least, on which a subtree recurs
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|title|iframe|svg|math|select|object)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style)(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<[!?/a-z][^>]*+(?:>|\Z)", re.I | re.S)
 # A name with its value, or a stray quoted string, which is no name.
@@ -36,9 +37,17 @@ _ATTRIBUTE = re.compile(r"\"[^\"]*+\"|'[^']*+'|([^\s/>=\"']++)(?:\s*+=\s*+(?:\"(
 # HTML's elements without an end, those that stand in a line, those whose start ends an open one of the same list.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
-                   "strike strong sub sup time tt u var wbr img".split())
+                   "strike strong sub sup time tt u var wbr img math".split())
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
         "option": {"option"}}
+# What holds no article text up to its own end. Without one its extent is unknown, and nothing is left out for it.
+EMBEDDED = frozenset("noscript template textarea title iframe svg select object annotation annotation-xml".split())
+RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("textarea", "title")}
+# Other grammars, the places in them that hold HTML, and the elements that end an open one.
+FOREIGN = frozenset("svg math select".split())
+WITHIN = FOREIGN | {"foreignobject", "annotation-xml"}
+BREAKOUT = frozenset("address article aside blockquote body center dd details dialog div dl dt figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+                     "header img li main nav ol p pre section table tbody td tfoot th thead tr ul".split())
 # What is no article text, by element, role, and parts of class names and ids.
 DROPPED = frozenset("nav footer aside form button menu dialog head".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
@@ -70,9 +79,11 @@ class Element:
                 digest.update(b"\x02" + k.hash)
         self.hash = digest.digest()
 
-    def dropped(self, within_main: bool) -> bool:
-        """Whether the element says that it is no article text."""
-        if self.tag in DROPPED or self.tag == "header" and not within_main and not self.has_main:
+    def dropped(self, within_main: bool, last: bool = False) -> bool:
+        """Whether the element says that it is no article text. A form around an article, or `last` anything around one, is a wrapper."""
+        if self.tag in DROPPED and not (self.has_main and (last or self.tag == "form") or last and self.tag == "form"):
+            return True
+        if self.tag == "header" and not within_main and not self.has_main:
             return True
         if not self.attributes:
             return False
@@ -90,40 +101,60 @@ def parse(page: str) -> Element:
     """The page's tree. Unclosed elements end with what holds them; stray ends are ignored; no depth is too deep."""
     root = Element("#page")
     stack, at = [root], 0
+    opened, within, endless = Counter(), [], set()      # open elements by tag, places of those in WITHIN, RAW tags that do not end any more
 
     def end(upto: int) -> None:
         while len(stack) > upto:
+            opened[stack[-1].tag] -= 1
             stack.pop().close()
+        while within and within[-1] >= upto:
+            within.pop()
 
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             stack[-1].kids.append(html.unescape(page[at:m.start()]))
         at = m.end()
         if not m[3]:
-            if m[1] and m[1].lower() not in ("script", "style"):
-                stack[-1].kids.append(Element("#gap"))
             continue
         tag = m[3].lower()
         if m[2]:
-            for n in range(len(stack) - 1, max(0, len(stack) - 500), -1):
-                if stack[n].tag == tag:
-                    end(n)
-                    break
+            if opened[tag]:
+                n = len(stack) - 1
+                while stack[n].tag != tag:
+                    n -= 1
+                end(n + 1)
+                if tag in EMBEDDED:
+                    stack[n].kids.clear()
+                end(n)
             continue
-        if tag in ENDS or tag not in INLINE and tag not in VOID:
-            for n in range(len(stack) - 1, 0, -1):
-                t = stack[n].tag
-                if t == "p" and tag not in ENDS or t in ENDS.get(tag, ()):
-                    end(n)
-                    break
-                if t not in INLINE:
-                    break
+        if within and tag in BREAKOUT and stack[within[-1]].tag in FOREIGN:
+            end(within[-1])
+        if stack[-1].tag == "head" and tag in BREAKOUT:
+            end(len(stack) - 1)
+        foreign = within and stack[within[-1]].tag in FOREIGN
+        if tag in ENDS or tag not in INLINE and tag not in VOID and tag not in EMBEDDED and not foreign:
+            if any(opened[t] for t in ENDS.get(tag, ("p",))):
+                for n in range(len(stack) - 1, 0, -1):
+                    t = stack[n].tag
+                    if t == "p" and tag not in ENDS or t in ENDS.get(tag, ()):
+                        end(n)
+                        break
+                    if t not in INLINE:
+                        break
         made = Element(tag, m[4])
         stack[-1].kids.append(made)
-        if tag in VOID or m[4].endswith("/") and tag not in INLINE and tag != "p":
+        if tag in VOID or m[4].endswith("/") and (tag not in INLINE or tag == "math") and tag != "p":
             made.close()
-        else:
-            stack.append(made)
+            continue
+        opened[tag] += 1
+        if tag in WITHIN:
+            within.append(len(stack))
+        stack.append(made)
+        if tag in RAW and tag not in endless:
+            if found := RAW[tag].search(page, at):
+                at = found.start()
+            else:
+                endless.add(tag)
     if at < len(page):
         stack[-1].kids.append(html.unescape(page[at:]))
     end(0)
@@ -143,9 +174,16 @@ def subtrees(root: Element) -> set[bytes]:
 
 
 def text_of(root: Element, template: frozenset[bytes] = frozenset()) -> str:
-    """The article's blocks joined by one blank; of a page without an article, the body's."""
+    """The article's blocks joined by one blank; of a page without an article, the body's.
+
+    Where that leaves nothing, elements that are dropped otherwise are read if they hold an article, and forms.
+    """
+    return _text_of(root, template, False) or _text_of(root, template, True)
+
+
+def _text_of(root: Element, template: frozenset[bytes], last: bool) -> str:
     def left(node: Element, within_main: bool) -> bool:
-        return not node.dropped(within_main) and (within_main or node.has_main or node.hash not in template)
+        return not node.dropped(within_main, last and not within_main) and (within_main or node.has_main or node.hash not in template)
 
     for wanted in (*MAIN, None):
         roots, todo = ([] if wanted else [root]), [root] if wanted else []

@@ -1,6 +1,7 @@
 """Cases in which an operator once did less than the whole job."""
 
 import random
+import time
 
 from ranklab.llm import html_text, quality_rules
 
@@ -27,3 +28,28 @@ def test_attribute_values_are_no_names():
         assert text(f"<article><p>one <a {a}>two</a> three<div {a}>four</div></article>") == "one two three four", a
     for a in ('hidden', 'HIDDEN=""', 'class="x nav"', "id=share", 'role = "search"', 'title="x"hidden', "a=b/ class='ad'", 'href="/hidden" hidden'):
         assert text(f"<article><p>one <a {a}>two</a> three<div {a}>four</div></article>") == "one three", a
+
+
+def test_wrappers_around_an_article_keep_it():
+    page = "<body><{0}><nav>menu</nav><article><p>one</p><form>mail</form><p>two</p></article><button>go</button></{0}></body>"
+    assert {text(page.format(w)) for w in ("form", "div", "aside", "dialog", "nav")} == {"one two"}
+    assert text("<form><h1>one</h1><div>two</div><button>go</button></form>") == "one two"
+    assert text("<form><div>one</div><nav>menu</nav></form>") == "one"
+    assert text("<p>one</p><form>mail</form><aside><h1>two</h1></aside>") == "one"
+    assert text("<head><title>t</title><meta><body><p>one</p>") == "one"
+
+
+def test_embedded_elements_end():
+    for e in ('<svg class="icon"/>', "<svg><path></svg>", '<svg class="icon"><path d=""/>', "<svg>", "<select><option>a</select>", "<object data=x>",
+              "<iframe src=x>", "<iframe src=x />", "<noscript>", "<textarea>", "<title>", "<math/>", "<svg><title>a</title><text>b</text></svg>"):
+        assert text(f"<article>{e}<p>one</p><p>two {e} three</p><p>four</p></article><div>five</div>") == "one two three four", e
+    assert text("<article><p>let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> be</p><p>so</p></article>") == "let x = 1 be so"
+    assert text("<article><p>one</p><textarea><p>no</article></textarea><p>two</p></article>") == "one two"
+
+
+def test_any_number_of_open_elements():
+    for t in ("a", "b", "font"):
+        assert text(f"<div><article><p>one {f'<{t}>' * 3000}two</article><p>three</p></div>") == "one two"
+    started = time.time()
+    assert text("<article>one " + "<b>" * 20000 + "</i>" * 20000 + "<svg><title>" * 20000) == "one"
+    assert time.time() - started < 20

@@ -44,7 +44,8 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")      # texts with one go to the tokenizer whole
         self.known: dict[str, bytes] = {}
 
     @classmethod
@@ -58,7 +59,7 @@ class Ids:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, text: str) -> bytes:
-        if not _PLAIN.fullmatch(text):
+        if not _PLAIN.fullmatch(text) or self.added.search(text):
             return self._encode([text])[0]
         split, known = _SPLIT.findall(text), self.known
         try:

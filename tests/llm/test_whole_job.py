@@ -3,7 +3,10 @@
 import random
 import time
 
-from ranklab.llm import html_text, quality_rules
+import numpy as np
+
+from ranklab.llm import html_text, packing, quality_rules
+from ranklab.llm.queries import tokenizer
 
 
 def test_table_junk_is_rejected_and_prose_kept(spark):
@@ -53,3 +56,15 @@ def test_any_number_of_open_elements():
     started = time.time()
     assert text("<article>one " + "<b>" * 20000 + "</i>" * 20000 + "<svg><title>" * 20000) == "one"
     assert time.time() - started < 20
+
+
+def test_packing_gives_the_ids_of_an_unmodified_tokenizer():
+    from tokenizers import Tokenizer
+
+    exact, own = Tokenizer.from_file(tokenizer()), packing.Ids(tokenizer())
+    added = [t.content for t in exact.get_added_tokens_decoder().values()]
+    assert "<|endoftext|>" in added
+    for t in added:
+        for x in (t, f"one {t} two", f"one{t}{t}two's", f"漢字 {t}\n", t[:-1], f"one {t[1:]} {t}"):
+            assert own(x) == own(x) == np.array(exact.encode(x, add_special_tokens=False).ids, "<u4").tobytes(), x
+    assert own("<|endoftext|>") == np.array([50256], "<u4").tobytes()

@@ -30,6 +30,7 @@ RANK = 48             # latent dimensions
 NEIGHBOURS = 25
 SHARPNESS = 4         # a neighbour's weight is its similarity to this power
 BLOCK = 512           # documents compared at once
+SPAN = 200            # tokens among which repeated ones are counted
 GOOD = 0.7
 
 # Form of a byte: 1 small letters and all beyond ASCII, 2 capitals, 3 digits, 4 blanks, 5 line ends, then one for each mark.
@@ -40,6 +41,11 @@ _FORM[65:91], _FORM[48:58], _FORM[:33], _FORM[10] = 2, 3, 4, 5
 _FORM[_MARKS] = np.arange(6, 6 + len(_MARKS))
 
 
+def _repeated(tokens: list[bytes]) -> int:
+    """Tokens that stood before in their stretch of SPAN tokens: as a rate the same for short and long texts."""
+    return len(tokens) - sum(len(set(tokens[at: at + SPAN])) for at in range(0, len(tokens), SPAN))
+
+
 def terms(text: str | None) -> np.ndarray:
     """Term counts of a text, logarithmic, per root of its length."""
     raw = (text or "").encode()
@@ -56,7 +62,7 @@ def terms(text: str | None) -> np.ndarray:
     hashed = np.fromiter(map(zlib.crc32, own), np.int64, len(own)) % WORDS
     out[FORM:FORM + WORDS] = np.bincount(hashed, minlength=WORDS)
     tokens, lines = raw.split(), [x for x in raw.split(b"\n") if x.strip()]
-    out[-4:] = (sum(map(operator.eq, tokens, tokens[1:])), len(tokens) - len(set(tokens)) if len(tokens) < 400 else 0,
+    out[-4:] = (sum(map(operator.eq, tokens, tokens[1:])), _repeated(tokens),
                 len(lines) - len(set(lines)), sum(map(operator.eq, tokens, tokens[2:])))
     out = np.log1p(100 * out / max(10, len(tokens)))      # rates per hundred words
     out[FORM:FORM + WORDS] *= WORD_WEIGHT

@@ -5,7 +5,7 @@ import time
 
 import numpy as np
 
-from ranklab.llm import html_text, packing, quality_rules
+from ranklab.llm import html_text, packing, quality_knn, quality_rules
 from ranklab.llm.queries import tokenizer
 
 
@@ -68,3 +68,10 @@ def test_packing_gives_the_ids_of_an_unmodified_tokenizer():
         for x in (t, f"one {t} two", f"one{t}{t}two's", f"漢字 {t}\n", t[:-1], f"one {t[1:]} {t}"):
             assert own(x) == own(x) == np.array(exact.encode(x, add_special_tokens=False).ids, "<u4").tobytes(), x
     assert own("<|endoftext|>") == np.array([50256], "<u4").tobytes()
+
+
+def test_repeated_tokens_count_at_any_length():
+    rng = random.Random(4)
+    sign = lambda n: quality_knn.terms(" ".join(f"w{rng.randint(0, 30)}" for _ in range(n)))[-3]
+    assert all(abs(sign(n) - sign(200)) < 0.1 for n in (399, 400, 401, 5000)) and sign(400) > 4
+    assert quality_knn.terms(" ".join(f"w{i}" for i in range(5000)))[-3] == 0

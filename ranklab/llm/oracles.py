@@ -39,3 +39,32 @@ def decontamination(columns: str) -> str:
 ORACLES["op6_benchmark_decontamination"] = decontamination(
     "doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, "
     "sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated")
+
+
+# crc32 of a decimal number's text, byte by byte from the table of its polynomial
+_CRC = """xor(list_reduce(list_transform(string_split({x}, ''), lambda s: ascii(s)::bigint),
+                lambda c, b: xor(c >> 8, t.crc[(xor(c, b) & 255) + 1]), 4294967295::bigint), 4294967295::bigint)"""
+
+# Every beginning of every rebuilt conversation, grouped; subtrees by joining each node with all its beginnings.
+ORACLES["op12_conversation_prefix_trie"] = f"""
+    with t as (select list(list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, n)
+                           order by n) as crc from range(256) r(n)),
+         own as (select conv_id, list(md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) order by turn nulls first) as turns,
+                        list(strlen(coalesce(text, ''))::bigint order by turn nulls first) as sizes from conversations where conv_id is not null group by conv_id),
+         picked as (select conv_id, turns, sizes, {_CRC.format(x="conv_id::varchar")} % 9 as h from own, t),
+         built as (select p.conv_id, coalesce(b.turns[1:p.h], []) || p.turns[p.h + 1:] as turns, coalesce(b.sizes[1:p.h], []) || p.sizes[p.h + 1:] as sizes
+                   from picked p left join own b on b.conv_id = p.conv_id - p.conv_id % 5),
+         starts as (select conv_id, len(turns) as n, unnest(range(0, len(turns) + 1)) as depth, turns, sizes from built),
+         named as (select conv_id, depth, n, md5(array_to_string(turns[1:depth], '/')) as key, turns[1:depth] as path, sizes[depth] as own_bytes,
+                          case when depth > 0 then md5(array_to_string(turns[1:depth - 1], '/')) end as up from starts),
+         nodes as (select key, any_value(up) as up, any_value(path) as path, depth, min(conv_id) as conv_id, count(*) as n_convs,
+                          coalesce(any_value(own_bytes), 0) as bytes, string_agg(conv_id::varchar, ',' order by conv_id) filter (n = depth) as ends
+                   from named group by key, depth),
+         children as (select up as key, count(*) as n_children from nodes where up is not null group by up),
+         full_nodes as (select n.*, coalesce(c.n_children, 0) as n_children from nodes n left join children c using (key)),
+         above as (select n_children, (n_convs - 1) * bytes as saved, unnest(range(0, depth + 1)) as e, path from full_nodes),
+         sums as (select md5(array_to_string(path[1:e], '/')) as key, count(*) filter (n_children = 0) as n_leaves, sum(saved) as saved_tokens
+                  from above group by 1)
+    select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens::bigint as saved_tokens,
+           sha256(coalesce(n.ends, '')) as ends_sha256
+    from full_nodes n join sums s using (key) left join nodes p on p.key = n.up"""

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ranklab.llm import (decontaminate, html_text, licenses, near_dup, packing, quality_knn, quality_rules,
-                         secret_scan, toxicity, url_filter)
+from ranklab.llm import (decontaminate, html_text, licenses, near_dup, packing, piece_codec, prefix_trie, quality_knn,
+                         quality_rules, secret_scan, toxicity, turn_repair, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -79,3 +79,25 @@ def op10_quality_classifier(spark, sf):
 @query
 def op7_minhash_near_dedup(spark, sf):
     return near_dup.classes(table(spark, sf, "documents")).select("doc_id", "class_id", "first")
+
+
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op11_sentencepiece_codec(spark, sf):
+    model = piece_model()
+    return piece_codec.digest(piece_codec.decode(piece_codec.encode(table(spark, sf, "documents"), model), model))
+
+
+@query
+def op12_conversation_prefix_trie(spark, sf):
+    return prefix_trie.trie(table(spark, sf, "conversations"))
+
+
+@query
+def op13_conversation_repair(spark, sf):
+    return turn_repair.digest(turn_repair.repair(turn_repair.damage(table(spark, sf, "conversations"))))

@@ -2,14 +2,15 @@
 
 Merging always the best pair gives the one sequence of pieces of which all neighbours are
 compatible: the two pieces of each pair, put together and merged anew, fall apart in the same
-way. So nothing has to be merged over a whole text. An Aho-Corasick automaton finds all pieces
-that start at each place; the longest one that is compatible with its left neighbour is
-taken; where none is, the place is marked in a bit field as failed, and the neighbour is taken
+way. So nothing has to be merged over a whole text. An Aho-Corasick automaton finds the longest
+piece that starts at a place, or the next shorter one; the longest that is compatible with its left
+neighbour is taken; where none is, the place is marked in a bit field as failed, and the neighbour is taken
 back for a shorter one. A compatibility check merges two pieces only and is remembered.
 
 No piece continues over the beginning of a run of spaces or over a character that is in no
 piece, so a text falls into words there (checked against the vocabulary; otherwise texts are
-encoded whole), and a task remembers the words it has encoded.
+cut less), and words into parts between two characters that no piece joins. A task remembers
+the words and parts it has encoded.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 from itertools import groupby
+from struct import pack
 
 import ahocorasick
 import numpy as np
@@ -28,19 +30,29 @@ from ranklab.llm.common import map_batches, take
 SPACE = "▁"
 HELD_WORDS, HELD_LETTERS = 300_000, 64      # words that a task remembers, and the longest of them
 HELD_PAIRS = 1_000_000                      # compatibility checks that it remembers
+NEVER = float("-inf")
 
 
 class Words(dict):
-    """Packed ids of words, by word; what is not there is encoded."""
+    """Packed ids of words, by word; what is not there is encoded, part by part where no piece joins the parts."""
 
-    def __init__(self, encode):
+    def __init__(self, codec: Codec):
         super().__init__()
-        self.encode = encode
+        self.codec = codec
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        packed = np.array(self.encode(word), "<u4").tobytes()
+        packed = self.before.get(word)
+        if packed is None:
+            parts = self.codec.parts(word)
+            if len(parts) > 1:
+                packed = b"".join(map(self.__getitem__, parts))
+            else:
+                ids = self.codec.ids(word)
+                packed = pack(f"<{len(ids)}I", *ids)
         if len(word) <= HELD_LETTERS:
-            if len(self) >= HELD_WORDS:
+            if len(self) >= HELD_WORDS // 2:                # the older half goes, but for what is still in use
+                self.before = dict(self)
                 self.clear()
             self[word] = packed
         return packed
@@ -54,7 +66,8 @@ class Codec:
 
         known = sentencepiece.SentencePieceProcessor(model_file=model)
         self.bos, self.eos, self.unknown = known.bos_id(), known.eos_id(), known.unk_id()
-        self.score: dict[str, tuple[float, int]] = {}
+        self.rank: dict[str, float] = {}
+        self.id: dict[str, int] = {}
         self.byte = [self.unknown] * 256
         self.out: list[bytes] = []
         self.control: set[int] = set()
@@ -70,97 +83,101 @@ class Codec:
             elif known.is_unknown(i):
                 shown = " ⁇ ".encode()
             else:
-                self.score[piece] = known.get_score(i), i
+                self.rank[piece], self.id[piece] = known.get_score(i), i
             self.out.append(shown)
         self.bytes_of = {i: b for b, i in enumerate(self.byte) if i != self.unknown}
-        letters = {c for piece in self.score for c in piece}
-        self.automaton = ahocorasick.Automaton()
-        for piece in self.score.keys() | letters:           # a letter without a piece of its own may still take part in merges
-            self.automaton.add_word(piece, len(piece))
+        self.letters = frozenset(c for piece in self.rank for c in piece)
+        self.joined = frozenset(a + b for piece in self.rank for a, b in zip(piece, piece[1:]))
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        for piece in self.rank.keys() | self.letters:      # a letter without a piece of its own may still take part in merges
+            self.automaton.add_word(piece)
         self.automaton.make_automaton()
+        self.longest = max(map(len, self.rank), default=1)
         self.compatible: dict[tuple[str, str], bool] = {}
-        self.whole: dict[str, bool] = {}
-        inside = any(a != SPACE and b == SPACE for piece in self.score for a, b in zip(piece, piece[1:]))
-        foreign = "".join(map(re.escape, sorted({chr(b) for b in range(128)} - letters)))
+        self.held: dict[str, str] = {}                      # the longest piece on a path; as many as there are paths
+        inside = any(a != SPACE and b == SPACE for a, b in self.joined)
+        foreign = "".join(map(re.escape, sorted({chr(b) for b in range(128)} - self.letters)))
         self.cut = None if inside else re.compile(
             f"[{foreign}]|{SPACE}*[^{SPACE}{foreign}]+|{SPACE}+" if foreign else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self.words = Words(self.encode_word)
+        self.words = Words(self)
 
     def merged(self, text: str) -> list[str]:
         """Symbols after all merges, the best piece first, of equal ones the leftmost: for two pieces at a time."""
+        rank = self.rank.get
         symbols = list(text)
-        while len(symbols) > 1:
-            best, at = None, -1
-            for i in range(len(symbols) - 1):
-                found = self.score.get(symbols[i] + symbols[i + 1])
-                if found and (best is None or found[0] > best):
-                    best, at = found[0], i
-            if best is None:
-                break
-            symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
+        ranks = [rank(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
+        while ranks and (best := max(ranks)) > NEVER:
+            i = ranks.index(best)
+            symbols[i:i + 2] = [own := symbols[i] + symbols[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank(symbols[i - 1] + own, NEVER)
+            if i < len(ranks):
+                ranks[i] = rank(own + symbols[i + 1], NEVER)
         return symbols
 
-    def _is_whole(self, piece: str) -> bool:
-        """Whether merging ever makes this piece."""
-        found = self.whole.get(piece)
-        if found is None:
-            found = self.whole[piece] = len(self.merged(piece)) == 1
-        return found
-
-    def _fits(self, left: str, right: str) -> bool:
-        found = self.compatible.get((left, right))
-        if found is None:
-            if len(self.compatible) >= HELD_PAIRS:
-                self.compatible.clear()
-            found = self.compatible[left, right] = self.merged(left + right) == [left, right]
+    def _piece(self, path: str) -> str:
+        """Longest beginning of a path through the automaton that is a piece which merging makes; a letter at least."""
+        own = path
+        while len(own) > 1 and (own not in self.rank or len(self.merged(own)) > 1):
+            own = own[:-1]
+        return self.held.setdefault(path, self.held.setdefault(own, own))
+
+    def _fits(self, pair: tuple[str, str]) -> bool:
+        if len(self.compatible) >= HELD_PAIRS:
+            self.compatible.clear()
+        found = self.compatible[pair] = self.merged(pair[0] + pair[1]) == [*pair]
         return found
 
     def pieces(self, text: str) -> list[str]:
         """The pieces of a stretch of letters, all of which are in some piece."""
+        longest_prefix, held, compatible, most = self.automaton.longest_prefix, self.held, self.compatible, self.longest
         n = len(text)
-        lengths: list[list[int]] = [[] for _ in range(n)]   # of the pieces that start at a place, ascending
-        for end, length in self.automaton.iter(text):
-            start = end - length + 1
-            if length == 1 or self._is_whole(text[start:end + 1]):
-                lengths[start].append(length)
-        open_ = bytearray(b"\xff") * (n // 8 + 1)           # bit field: places from which the end has not failed to be reached
+        failed = bytearray(n // 8 + 1)                      # bit field: places from which the end cannot be reached
         out: list[str] = []
-        at, choice = 0, len(lengths[0]) - 1 if n else 0
+        at, path = 0, None
         while at < n:
-            own = lengths[at]
-            while choice >= 0:
-                end = at + own[choice]
-                if open_[end >> 3] >> (end & 7) & 1:
-                    piece = text[at:end]
-                    if not out or self._fits(out[-1], piece):
+            if path is None:
+                path = text[at:at + most]
+                path = path[:longest_prefix(path)]
+            while path:
+                piece = held.get(path) or self._piece(path)
+                end = at + len(piece)
+                if not failed[end >> 3] >> (end & 7) & 1:
+                    if not out:
+                        break
+                    pair = out[-1], piece
+                    fits = compatible.get(pair)
+                    if fits or fits is None and self._fits(pair):
                         break
-                choice -= 1
-            if choice >= 0:
+                path = piece[:-1]                           # the next shorter one
+            if path:
                 out.append(piece)
-                at = end
-                choice = len(lengths[at]) - 1 if at < n else 0
-            else:
-                open_[at >> 3] &= ~(1 << (at & 7))
-                taken = out.pop()
-                at -= len(taken)
-                choice = lengths[at].index(len(taken)) - 1
+                at, path = end, None
+            else:                                           # back to the neighbour, for a shorter one
+                failed[at >> 3] |= 1 << (at & 7)
+                path = out.pop()[:-1]
+                at -= len(path) + 1
         return out
 
-    def encode_word(self, word: str) -> list[int]:
-        ids: list[int] = []
-        at = 0
-        for n, c in enumerate(word):
-            if not self.automaton.match(c):
-                ids += self._ids(word[at:n])
-                ids += self._fallback(c)
-                at = n + 1
-        return ids + self._ids(word[at:])
-
-    def _ids(self, text: str) -> list[int]:
+    def parts(self, word: str) -> list[str]:
+        """The word cut where no piece joins the two characters."""
+        joined, out, start = self.joined, [], 0
+        for n in range(1, len(word)):
+            if word[n - 1:n + 1] not in joined:
+                out.append(word[start:n])
+                start = n
+        out.append(word[start:])
+        return out
+
+    def ids(self, part: str) -> list[int]:
+        """Ids of a part: one character that no piece holds, or characters of pieces only."""
+        if not self.letters.issuperset(part):
+            return self._fallback(part)
         ids: list[int] = []
-        for piece in self.pieces(text):
-            found = self.score.get(piece)
-            ids += [found[1]] if found else self._fallback(piece)
+        for piece in self.pieces(part):
+            found = self.id.get(piece)
+            ids += self._fallback(piece) if found is None else [found]
         return ids
 
     def _fallback(self, letter: str) -> list[int]:
@@ -173,7 +190,7 @@ class Codec:
             marked = SPACE + text.replace(" ", SPACE)
             parts = self.cut.findall(marked) if self.cut else [marked]
             inner = b"".join(map(self.words.__getitem__, parts))
-        return b"".join((np.uint32(self.bos).astype("<u4").tobytes(), inner, np.uint32(self.eos).astype("<u4").tobytes()))
+        return pack("<I", self.bos) + inner + pack("<I", self.eos)
 
     def decode(self, packed: bytes) -> str:
         """The text of packed ids, without the space that encoding puts in front; bytes that are no UTF-8 become U+FFFD each."""

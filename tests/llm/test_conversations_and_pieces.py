@@ -48,7 +48,7 @@ def test_codec_on_whole_table(spark, sf, library):
 def test_codec_on_random_texts(library):
     own = piece_codec.codec(piece_model())
     rng = random.Random(5)
-    pieces = [p for p in own.score if len(p) < 7]
+    pieces = [p for p in own.rank if len(p) < 7]
     alphabets = ["ab", "the in", "  \t\n", "aeiou st▁", "αβγδ é漢字🙂\0 x", "0123456789.,", "abcdefghijklmnopqrstuvwxyz  ", "<s>/unk0xA"]
     texts = ["", " ", "▁", "▁▁ a", "<s>", "</s><0x0A>", "�", "\n", "\r\n\r\n", "a" * 3000, " " * 500, " " * 31 + "x", "=" * 999, "ab" * 700]
     texts += ["".join(rng.choice(a) for _ in range(rng.randint(1, 60))) for a in alphabets for _ in range(120)]

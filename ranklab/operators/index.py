@@ -85,9 +85,9 @@ def doc_lengths(docs: DataFrame, text: str = "contents") -> DataFrame:
     return docs.select("row_id", "doc_id", F.size(tx.tokens(F.col(text))).alias("dl"))
 
 
-def term_stats(posts: DataFrame) -> DataFrame:
-    """Per term: documents, occurrences, and the highest share it has of any document."""
-    return posts.groupBy("term").agg(
+def term_stats(posts: DataFrame, *by: str) -> DataFrame:
+    """Per term (and `by`): documents, occurrences, and the highest share it has of any document."""
+    return posts.groupBy("term", *by).agg(
         F.count("*").alias("df"), F.sum("tf").alias("cf"),
         F.max(F.col("tf") / F.col("dl")).alias("top_ratio"))
 

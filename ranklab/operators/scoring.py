@@ -21,6 +21,8 @@ from ranklab.session import BROADCAST_BYTES, broadcast_if, estimated_bytes, join
 LAMBDAS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
 # Scores are compared in units of 1e-9, so the order of summation cannot decide a rank.
 SCORE_UNITS = 1e9
+# Row ids that share a bitmap.
+BITMAP_ROWS = 32768
 # Stored postings (times lambdas) from which on score bounds repay their extra pass.
 BOUND_BYTES = 64 * 1024 * 1024
 
@@ -106,6 +108,22 @@ def count_matches(pairs: DataFrame, copies: int = 1) -> DataFrame:
     return pairs.groupBy("query_id").agg((F.count("*") * copies).alias("n_matches"))
 
 
+def count_by_bitmaps(index: Index, topics: TopicTerms, copies: int = 1) -> DataFrame:
+    """`count_matches` of `any_term_match`, counted in bitmaps: no (topic, document) pair leaves a task.
+
+    A task sets a bit for each of its matches, 32768 row ids to a bitmap; only bitmaps are
+    shuffled and joined by "or". Where row ids are so sparse that a bitmap would hold less than
+    64 documents on average, the pairs themselves are smaller, and these are counted.
+    """
+    stats = index.coll_stats.agg(F.sum("n_docs").alias("n"), (F.max("last_row") - F.min("first_row") + 1).alias("span")).first()
+    if not stats["n"] or stats["span"] > stats["n"] * (BITMAP_ROWS // 64):
+        return count_matches(any_term_match(index, topics), copies)
+    row = F.col("row_id") + 1                                # numbers in a bitmap start at 1
+    pairs = matches(index, topics.terms, topics).select("query_id", F.expr("bitmap_bucket_number(row_id + 1)").alias("bitmap"), row.alias("row"))
+    bits = pairs.groupBy("query_id", "bitmap").agg(F.bitmap_construct_agg(F.bitmap_bit_position("row")).alias("bits"))
+    return bits.groupBy("query_id").agg((F.sum(F.bitmap_count("bits")) * copies).alias("n_matches"))
+
+
 def score(index: Index, topics: TopicTerms, model: str = "tfidf", lam: Column | float = 0.5,
           compat: Compat = STANDARD) -> DataFrame:
     """(query_id, row_id, score) of every document that shares a term with the topic."""

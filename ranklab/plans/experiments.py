@@ -54,7 +54,7 @@ def search_and_evaluate(index: Index, topics: DataFrame, qrels: DataFrame, model
     judged_pairs = ev.judgments(qrels, compat)
     ids = topics.select("query_id")
     metrics = ev.evaluate(ev.judge(ranked, judged_pairs), judged_pairs, ids, cut, compat=compat)
-    return SearchResult(ranked, sc.count_matches(sc.any_term_match(index, terms), compat.copies), metrics, topics, compat)
+    return SearchResult(ranked, sc.count_by_bitmaps(index, terms, compat.copies), metrics, topics, compat)
 
 
 def evaluate_tfidf(index: Index, topics: DataFrame, qrels: DataFrame, cut: int, metric: str,

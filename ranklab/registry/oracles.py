@@ -248,6 +248,8 @@ ORACLES: dict[str, str] = {
     "ix_copies": _sql("ts2", "select term, df, cf from ts2"),
     # joins
     "jn_terms_postings": _sql("qt post", "select query_id, term, row_id, qtf::INT qtf, tf::INT tf from qt join post using (term)"),
+    "jn_rare_terms_postings": _sql("qt post ts", """select query_id, term, row_id, qtf::INT qtf, tf::INT tf
+        from qt join post using (term) join ts using (term) where df <= 3"""),
     "jn_hits_docs": _sql("run", "select query_id, rank::INT rank, row_id, doc_id from run"),
     "jn_hits_qrels": _sql("run_j", "select query_id, rank::INT rank, doc_id, relevant from run_j"),
     "jn_topics_grid": _sql("grid", "select lam, query_id, rank::INT rank, doc_id, round(score, 6) score from grid"),
@@ -258,6 +260,9 @@ ORACLES: dict[str, str] = {
     "score_jm": _sql("jm5", "select query_id, row_id, round(score, 6) score from jm5"),
     "count_matches": _sql("qt post", "select query_id, count(distinct row_id) n_matches from qt join post using (term) group by query_id"),
     "topk_hits": _sql("run", "select query_id, rank::INT rank, row_id, round(score, 6) score from run"),
+    "topk_hits_by_blocks": _sql("run", "select query_id, rank::INT rank, row_id, round(score, 6) score from run"),
+    "topk_jm_by_blocks": _sql("jm", """select query_id, rank::INT rank, row_id, round(score, 6) score from (select *, row_number() over
+        (partition by query_id order by round(score, 9) desc, row_id) rank from jm where lam = 0.4) where rank <= 5"""),
     "topk_display": _sql("run", "select query_id, rank::INT rank, doc_id, round(score, 6) score from run where rank <= 3"),
     "sort_topics": _sql("topics", "select * from topics order by query_id"),
     # evaluation

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ranklab.compat import REFERENCE, Compat
 from ranklab.functions import text as tx
-from ranklab.operators import evaluate as ev, index as ix, scoring as sc, significance as sg, tune
+from ranklab.operators import evaluate as ev, index as ix, scoring as sc, significance as sg, tune, term_layout as tl
 from ranklab.plans import experiments as ex
 from ranklab.registry import setup
 from ranklab.registry.setup import CUT, TRAIN_CUT, experiment
@@ -426,6 +426,12 @@ def jn_terms_postings(spark, sf):
     return sc.matches(e.index, e.terms.terms, e.terms).select("query_id", "term", "row_id", "qtf", "tf")
 
 
+@query
+def jn_rare_terms_postings(spark, sf):
+    """Postings of topic terms that at most three documents hold, from the layout by term."""
+    return tl.rare_term_postings(setup.layout(spark, sf), experiment(spark, sf).terms, 3)
+
+
 @query
 def jn_hits_docs(spark, sf):
     return _search(spark, sf)[1].run.select("query_id", "rank", "row_id", "doc_id")
@@ -489,7 +495,7 @@ def score_jm(spark, sf):
 @query
 def count_matches(spark, sf):
     e = experiment(spark, sf)
-    return sc.count_matches(sc.any_term_match(e.index, e.terms))
+    return sc.count_by_bitmaps(e.index, e.terms)
 
 
 @query
@@ -499,6 +505,18 @@ def topk_hits(spark, sf):
     return best.select("query_id", "rank", "row_id", r6("score"))
 
 
+@query
+def topk_hits_by_blocks(spark, sf):
+    best = tl.top_k_by_blocks(setup.layout(spark, sf), experiment(spark, sf).terms, CUT)
+    return best.select("query_id", "rank", "row_id", r6("score"))
+
+
+@query
+def topk_jm_by_blocks(spark, sf):
+    best = tl.top_k_by_blocks(setup.layout(spark, sf), experiment(spark, sf).terms, TRAIN_CUT, "jm", 0.4)
+    return best.select("query_id", "rank", "row_id", r6("score"))
+
+
 @query
 def topk_display(spark, sf):
     return _hits(sc.display_top(_search(spark, sf)[1].run, 3, CUT))

@@ -12,7 +12,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ranklab.operators import index as ix, scoring as sc
+from ranklab.operators import index as ix, scoring as sc, term_layout as tl
 from ranklab.session import join_small, keep, scalar, shared_folder, spread
 from ranklab.sinks import index_store as store
 from ranklab.sources import tagged
@@ -24,6 +24,7 @@ RARE_TERMS = 2
 
 _prepared: dict[tuple, "Experiment"] = {}
 _runs: dict[tuple, DataFrame] = {}
+_layouts: dict[tuple, tl.TermLayout] = {}
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -84,6 +85,14 @@ def experiment(spark: SparkSession, sf: str) -> Experiment:
     return _prepared[key]
 
 
+def layout(spark: SparkSession, sf: str) -> tl.TermLayout:
+    """The experiment's postings by term, stored on first use."""
+    key = (spark.sparkContext.applicationId, id(spark), sf)
+    if key not in _layouts:
+        _layouts[key] = tl.store_layout(experiment(spark, sf).index)
+    return _layouts[key]
+
+
 def stored_run(spark: SparkSession, sf: str, model: str) -> DataFrame:
     """The ranking of all topics under TF-IDF, or under every lambda (`grid`), stored on first use like the index."""
     key = (spark.sparkContext.applicationId, id(spark), sf, model)

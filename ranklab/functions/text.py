@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
-# Fixed value: what a word is. Letters, digits and underscores; one inner mark
-# may join letters (' . ’ : ·) or digits (. , ; ').
-WORD = r"[\p{L}\p{N}_]+(?:['.’:·][\p{L}_]+|[.,;'][\p{N}]+)*"
+# Fixed value: what a word is. Letters, digits and underscores, with the combining marks behind
+# them; one inner sign may join letters (' . ’ : ·) or digits (. , ; ').
+WORD = r"[\p{L}\p{N}_][\p{L}\p{M}\p{N}_]*(?:['.’:·][\p{L}_][\p{L}\p{M}_]*|[.,;'][\p{N}][\p{M}\p{N}]*)*"
 # The same language with possessive repetition: no part of a word is ever given back.
-_WORD_POSSESSIVE = r"[\p{L}\p{N}_]++(?:['.’:·][\p{L}_]++|[.,;'][\p{N}]++)*+"
+_WORD_POSSESSIVE = r"[\p{L}\p{N}_][\p{L}\p{M}\p{N}_]*+(?:['.’:·][\p{L}_][\p{L}\p{M}_]*+|[.,;'][\p{N}][\p{M}\p{N}]*+)*+"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ranklab.compat import STANDARD, Compat
 from ranklab.functions import text as tx
 
+# Topic ids whose single-precision sum is taken in one piece.
+TOPIC_RANGE = 1024
 METRICS = ("p", "r", "ap")
 
 
@@ -95,12 +97,14 @@ def mean_metrics(metrics: DataFrame, n_topics: DataFrame, compat: Compat = STAND
     """
     if compat.mean_divisor == 1:
         return metrics.agg(*[F.avg(m).alias(f"mean_{m}") for m in METRICS])
-    # The original adds single-precision numbers topic by topic; there is one row per topic.
-    ordered = metrics.agg(*[F.transform(F.array_sort(F.collect_list(F.struct("query_id", F.coalesce(m, F.lit(0.0)).alias("v")))),
-                                        lambda x: x["v"]).alias(m) for m in METRICS])
+    # The original adds single-precision numbers topic by topic: so do we, within each range of TOPIC_RANGE ids.
+    # The sums of the ranges are added up in double precision; a report of up to TOPIC_RANGE topics has its very digits.
+    ranges = metrics.groupBy(F.floor(F.col("query_id") / TOPIC_RANGE).alias("range")).agg(
+        *[tx.float32_sum(F.transform(F.array_sort(F.collect_list(F.struct("query_id", F.coalesce(m, F.lit(0.0)).alias("v")))),
+                                     lambda x: x["v"])).alias(m) for m in METRICS])
     n = n_topics.agg(F.count("*").alias("n")).scalar() * compat.mean_divisor
-    return ordered.select(*[(tx.float32_sum(F.col(m)) / n.cast("float")).cast("float").cast("double").alias(f"mean_{m}")
-                            for m in METRICS])
+    return ranges.agg(*[F.sum(F.col(m).cast("double")).alias(m) for m in METRICS]).select(
+        *[(F.col(m).cast("float") / n.cast("float")).cast("float").cast("double").alias(f"mean_{m}") for m in METRICS])
 
 
 def pooled_mean(metrics: DataFrame, n_topics: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ranklab.functions import distributions as ds
+from ranklab.session import keep
 
 # Differences are rounded, so that 0.8 - 0.6 and 0.6 - 0.4 are the same rank.
 DIFF_DIGITS = 9
@@ -74,8 +75,18 @@ def abs_diff_ranks(pairs: DataFrame, by: Sequence[str], zero_method: str = "keep
 
 
 def _ranked_sizes(groups: DataFrame, by: Sequence[str]) -> DataFrame:
-    upto = W.partitionBy(*by).orderBy("size").rowsBetween(W.unboundedPreceding, W.currentRow)
-    return groups.withColumn("avg_rank", F.sum("same").over(upto) - (F.col("same") - 1) / 2)
+    """`groups` (by..., size, same, ...) with avg_rank, the average rank of each size within its pair.
+
+    Sizes are sorted over ranges, so that one pair may have any number of them: a rank is the
+    count inside the range plus that of the pair's ranges before, one row per pair and range.
+    """
+    placed = keep(groups.repartitionByRange(*by, "size").withColumn("part", F.spark_partition_id()))
+    before = W.partitionBy(*by).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    ranges = placed.groupBy(*by, "part").agg(F.sum("same").alias("here")).select(
+        *by, "part", F.coalesce(F.sum("here").over(before), F.lit(0)).alias("before"))
+    inside = W.partitionBy(*by, "part").orderBy("size").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = placed.withColumn("upto", F.sum("same").over(inside)).join(ranges, [*by, "part"])
+    return ranked.withColumn("avg_rank", F.col("before") + F.col("upto") - (F.col("same") - 1) / 2).drop("before", "upto", "part")
 
 
 def wilcoxon(pairs: DataFrame, by: Sequence[str], zero_method: str = "keep") -> DataFrame:

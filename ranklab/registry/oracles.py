@@ -6,10 +6,10 @@ Spark code: copies of documents, for example, are really stored twice here.
 
 from __future__ import annotations
 
-from ranklab.functions.text import WORD
-
 CUT, TRAIN_CUT = 10, 5
-_TOK = "'" + WORD.replace("'", "''") + "'"
+# What a word is, told for DuckDB on its own: a start, what goes on with it, and joined parts of letters or of digits.
+_START, _LETTERS, _DIGITS = r"[\pL\pN_][\pL\pM\pN_]*", r"[\x27.\x{2019}:\x{B7}][\pL_][\pL\pM_]*", r"[.,;\x27]\pN[\pM\pN]*"
+_TOK = f"'{_START}(?:{_LETTERS}|{_DIGITS})*'"
 _LAMBDAS = "[0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]::DOUBLE[]"
 
 # ---- building blocks: name -> (needs, body) --------------------------------------

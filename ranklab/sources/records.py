@@ -44,8 +44,8 @@ def read_records(spark: SparkSession, path: str, skip_unreadable: bool = False,
 
 
 def record_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The inverse of `read_records`: one text value per record, ready for `write.text`."""
-    return docs.withColumn("value", F.concat(F.col(key).cast("string"), F.lit("\n"), F.col(text), F.lit("\n/")))
+    """The inverse of `read_records`: one text value per record, ready for `write.text`. A null text is an empty one."""
+    return docs.withColumn("value", F.concat(F.col(key).cast("string"), F.lit("\n"), F.coalesce(F.col(text), F.lit("")), F.lit("\n/")))
 
 
 def read_collection(spark: SparkSession, path: str, skip_unreadable: bool = False, line_end: str = "\n") -> DataFrame:

@@ -85,6 +85,6 @@ def union_topics(*selections: DataFrame) -> DataFrame:
 
 
 def tagged_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The inverse of `read_tagged`: one text value per record, ready for `write.text`."""
-    return docs.select(F.concat(F.lit(".I "), F.col(key).cast("string"), F.lit("\n.W\n"), F.col(text))
+    """The inverse of `read_tagged`: one text value per record, ready for `write.text`. A null text is an empty one."""
+    return docs.select(F.concat(F.lit(".I "), F.col(key).cast("string"), F.lit("\n.W\n"), F.coalesce(F.col(text), F.lit("")))
                        .alias("value"))

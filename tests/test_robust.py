@@ -138,3 +138,45 @@ def test_windows_line_ends_are_split(spark):
 def test_later_topic_wins(spark):
     one, two = (spark.createDataFrame([(1, t), (n, t)], "query_id long, text string") for t, n in (("first", 2), ("second", 3)))
     assert sorted(map(tuple, tagged.union_topics(one, two).collect())) == [(1, "second"), (2, "first"), (3, "second")]
+
+
+def test_null_texts_survive_writing(spark, tmp_path):
+    from ranklab.sources import records, tagged
+
+    docs = spark.createDataFrame([(1, "one\ntwo"), (2, None), (3, ""), (4, "four")], "doc_id long, text string").coalesce(1)
+    tagged.tagged_lines(docs).write.text(f"{tmp_path}/t")
+    assert sorted(map(tuple, tagged.read_tagged(spark, f"{tmp_path}/t").collect())) == [(1, "one\ntwo"), (2, ""), (3, ""), (4, "four")]
+    records.record_lines(docs).select("value").write.text(f"{tmp_path}/r")
+    assert sorted((r["doc_id"], r["contents"].strip()) for r in records.read_records(spark, f"{tmp_path}/r").collect()) == [
+        (1, "one two"), (2, ""), (3, ""), (4, "four")]
+
+
+def test_marks_stay_with_their_letters(spark):
+    from pyspark.sql import functions as F
+    from ranklab.functions import text as tx
+
+    rows = {"Cafe\u0301 au lait": ["cafe\u0301", "au", "lait"], "हिन्दी में": ["हिन्दी", "में"], "it's 3.14, a.b": ["it's", "3.14", "a.b"], "\u0301x": ["x"]}
+    df = spark.createDataFrame([(k,) for k in rows], "t string")
+    assert {r["t"]: r["w"] for r in df.select("t", tx.tokens(F.col("t")).alias("w")).collect()} == rows
+
+
+def test_ranks_over_ranges_and_sums_over_ranges(spark):
+    import random
+
+    from ranklab.compat import REFERENCE
+    from ranklab.operators import evaluate as ev, significance as sg
+
+    rng = random.Random(3)
+    rows = [(p, i, 0.0, round(rng.choice([rng.random(), 0.5, 0.0, -0.25]), 3)) for p in ("x", "y") for i in range(3000)]
+    pairs = spark.createDataFrame(rows, "pair string, query_id long, a double, b double").repartition(6)
+    got = {(r["pair"], r["query_id"]): r["avg_rank"] for r in sg.abs_diff_ranks(pairs, ["pair"]).select("pair", "query_id", "avg_rank").collect()}
+    for p in ("x", "y"):
+        own = sorted(abs(b) for q, _, _, b in rows if q == p)
+        low, high = {}, {}
+        for n, v in enumerate(own, 1):
+            low.setdefault(v, n)
+            high[v] = n
+        assert all(got[p, i] == (low[abs(b)] + high[abs(b)]) / 2 for q, i, _, b in rows if q == p)
+    metrics = spark.createDataFrame([(i, rng.random(), rng.random(), rng.random()) for i in range(5000)], "query_id long, p double, r double, ap double")
+    got = ev.mean_metrics(metrics, metrics.select("query_id"), REFERENCE).first()
+    assert got["mean_p"] == pytest.approx(sum(r["p"] for r in metrics.collect()) / 15000, rel=1e-5)

@@ -75,3 +75,53 @@ def test_repeated_tokens_count_at_any_length():
     sign = lambda n: quality_knn.terms(" ".join(f"w{rng.randint(0, 30)}" for _ in range(n)))[-3]
     assert all(abs(sign(n) - sign(200)) < 0.1 for n in (399, 400, 401, 5000)) and sign(400) > 4
     assert quality_knn.terms(" ".join(f"w{i}" for i in range(5000)))[-3] == 0
+
+
+def test_names_do_not_empty_pages():
+    assert text('<body class="has-sidebar"><p>hello</p></body>') == text('<body class="sidebar"><p>hello</p></body>') == "hello"
+    assert text('<article class="post comments-open"><p>hello</p></article>') == "hello"
+    assert text('<article><p>one</p><p class="social-security">two</p></article>') == "one two"
+    assert text('<div class="share"><p>all there is on this page</p></div>') == "all there is on this page"
+    long = "<p>" + "much text " * 20 + "</p>"
+    for name in ("ad", "site-footer", "cookie-banner", "ad-slot-3", "social share", "post-comments", "sidebar widget"):
+        assert text(f'<body>{long}<div class="{name}">noise</div></body>').endswith("text"), name
+        assert text(f'<article>{long}<div id="{name.replace(" ", "-")}">noise</div></article>').endswith("text"), name
+
+
+def test_comments_go_whatever_they_hold():
+    page = '<article><p>one</p><div id="comments"><h1>What readers say</h1><article><p>first!</p></article></div></article>'
+    assert text(page) == "one"
+    assert text('<main><p>one</p></main><section class="comments"><article class="comment"><p>' + "long " * 50 + "</p></article></section>") == "one"
+    assert text('<article><p>one</p></article><article class="comment"><p>two</p></article>') == "one"
+
+
+def test_main_text_beats_a_teaser():
+    assert text("<main><p>The text of this page is here, in main.</p><article><p>A teaser</p></article></main>").startswith("The text of this page")
+    assert text("<main><div>x</div><article><p>The text</p></article><p>by</p></main>") == "The text"
+
+
+def test_template_inside_articles_decides(spark):
+    """Containers that recur in many different articles of a host go; paragraphs, large parts and parts of copies stay."""
+    box = '<div class="x9"><span>Read us every day</span></div>'
+    body = "<article><h1>title {0}</h1><p>text number {0} which is long enough to be most of it all</p>{1}<p>shared line</p></article>"
+    pages = [(i, f"http://a.example/{i}", body.format(i, box)) for i in range(12)]
+    pages += [(100 + i, f"http://b.example/{i}", body.format(0, box) + f"<p>{i}</p>") for i in range(12)]           # copies of one article
+    pages += [(200 + i, f"http://c.example/{i}", f"<article><p>{i}</p><div>a large part of a short article</div></article>") for i in range(12)]
+    pages += [(300 + i, f"http://d.example/{i}", body.format(i, box)) for i in range(4)]                              # too few pages
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    out = {r["page_id"]: r["text"] for r in html_text.extract(df).collect()}
+    off = {r["page_id"]: r["text"] for r in html_text.extract(df, share=2.0).collect()}
+    assert all("every day" not in out[i] and "every day" in off[i] and "shared line" in out[i] and f"text number {i}" in out[i] for i in range(12))
+    assert all("every day" in out[100 + i] and "large part" in out[200 + i] for i in range(12)) and "every day" in out[300]
+    # brute force: the pages of each subtree
+    counts = {}
+    for i, url, page in pages:
+        root = html_text.parse(page)
+        for h in html_text.subtrees(root):
+            counts.setdefault((url.split("/")[2], h), set()).add(html_text.identity(root))
+    n = {}
+    for _, url, page in pages:
+        n.setdefault(url.split("/")[2], set()).add(html_text.identity(html_text.parse(page)))
+    want = {(host, h) for (host, h), own in counts.items() if len(own) >= 5 and len(own) >= 0.3 * len(n[host])}
+    got = {(r["host"], bytes(h)) for r in html_text.site_templates(df).collect() for h in r["template"]}
+    assert got == want and want

@@ -40,7 +40,6 @@ def test_packing(spark, sf, texts):
     from tokenizers import Tokenizer
 
     exact = Tokenizer.from_file(tokenizer())
-    exact.encode_special_tokens = True
     out = QUERIES["op1_best_fit_packing"](spark, sf).collect()
     by_doc, by_sequence = {}, {}
     for r in out:

@@ -19,36 +19,44 @@ from ranklab.session import keep, spread
 class Index:
     """documents (row_id, doc_id, dl), postings (term, row_id, tf, dl),
     term_stats (term, df, cf, top_ratio): one row per term and batch, to be merged,
-    coll_stats (n_docs, n_tokens, first_row, last_row): one row per batch."""
+    coll_stats (n_docs, n_tokens, first_row, last_row): one row per batch,
+    rows (row_id, doc_id, dl, contents, terms, positions): a stored index's nested rows, else None."""
 
     documents: DataFrame
     postings: DataFrame
     term_stats: DataFrame
     coll_stats: DataFrame
+    rows: DataFrame | None = None
 
 
 # Ids below this leave room for the ids of later batches and of copies.
 LARGEST_ID = 1 << 60
 
 
-def ids_can_number(docs: DataFrame) -> bool:
-    """Whether the ids tell all rows apart and are in [0, LARGEST_ID): one pass over the ids alone."""
+def lowest_id(docs: DataFrame) -> int | None:
+    """The lowest id where the ids tell all rows apart and are in [0, LARGEST_ID), else None: one pass over the ids alone."""
     seen = docs.groupBy("doc_id").agg(F.count("*").alias("n")).agg(
         F.coalesce(F.max("n"), F.lit(0)).alias("most"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
         F.coalesce(F.max(F.col("doc_id").isNull()), F.lit(False)).alias("unnamed")).first()
-    return seen["most"] <= 1 and not seen["unnamed"] and (seen["low"] or 0) >= 0 and (seen["high"] or 0) < LARGEST_ID
+    low = seen["low"] or 0
+    usable = seen["most"] <= 1 and not seen["unnamed"] and low >= 0 and (seen["high"] or 0) < LARGEST_ID
+    return low if usable else None
 
 
-def with_row_ids(docs: DataFrame, first: int = 0, copies: int = 1) -> DataFrame:
+def with_row_ids(docs: DataFrame, first: int = 0, copies: int = 1, lowest: int | None = None) -> DataFrame:
     """Add row_id, the physical document, in doc_id order; each document `copies` times.
 
     Where the ids can serve as row ids they do. Where ids repeat (or are missing, negative
     or hashes of 64 bits), rows are numbered from `first` on in the order of id, then text: sorted
     over ranges of ids, each range counted, and the counts before it added. A row's
     number never depends on another row having a different id. A column row_id is replaced.
+    With `lowest` that is the lowest number given, whatever the ids are.
     """
     docs = docs.drop("row_id")
-    if ids_can_number(docs):
+    low = lowest_id(docs)
+    if lowest is not None:
+        first = lowest - (low or 0)
+    if low is not None:
         numbered = docs.withColumn("row_id", F.col("doc_id") + F.lit(first))
     else:
         text = [F.xxhash64(c) for c in ("contents",) if c in docs.columns]
@@ -98,8 +106,8 @@ def merge_term_stats(parts: DataFrame) -> DataFrame:
                                     F.max("top_ratio").alias("top_ratio")).where("df > 0")
 
 
-def coll_stats(documents: DataFrame) -> DataFrame:
-    return documents.agg(F.count("*").alias("n_docs"), F.coalesce(F.sum("dl"), F.lit(0)).alias("n_tokens"),
+def coll_stats(documents: DataFrame, *by: str) -> DataFrame:
+    return documents.groupBy(*by).agg(F.count("*").alias("n_docs"), F.coalesce(F.sum("dl"), F.lit(0)).alias("n_tokens"),
                          F.min("row_id").alias("first_row"), F.max("row_id").alias("last_row"))
 
 

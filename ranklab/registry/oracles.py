@@ -174,6 +174,9 @@ ORACLES: dict[str, str] = {
     "snk_index_create": _sql("ts cs", "select term, df, cf, n n_docs from ts, cs"),
     "snk_index_append": _sql("ts cs", "select term, df, cf, n n_docs from ts, cs"),
     "snk_index_create_or_append": _sql("docs len", "select doc_id, coalesce(dl, 0)::INT dl from docs left join len using (row_id)"),
+    "snk_index_upsert": f"""with post as (select doc_id, unnest(regexp_extract_all(lower(case when doc_id in
+        (select doc_id from labels) then 'revised ' else '' end || text), {_TOK}, 0)) term from documents)
+        select term, count(distinct doc_id) df, count(*) cf, (select count(*) from documents) n_docs from post group by term""",
     "op_upsert_docs": """select doc_id, case when doc_id in (select doc_id from labels) then 'revised ' || text
         else text end contents from documents""",
     "snk_index_count": "select count(*) n_docs from documents",

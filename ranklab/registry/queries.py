@@ -139,12 +139,22 @@ def snk_index_create_or_append(spark, sf):
     return store.open_index(spark, path).documents.select("doc_id", "dl")
 
 
+def _revised(spark, sf):
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id").distinct()
+    return setup.documents(spark, sf).join(labels, "doc_id").withColumn("contents", F.concat(F.lit("revised "), F.col("contents")))
+
+
 @query
 def op_upsert_docs(spark, sf):
-    old = setup.documents(spark, sf)
-    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id").distinct()
-    revised = old.join(labels, "doc_id").withColumn("contents", F.concat(F.lit("revised "), F.col("contents")))
-    return ix.upsert_docs(old, revised)
+    return ix.upsert_docs(setup.documents(spark, sf), _revised(spark, sf))
+
+
+@query
+def snk_index_upsert(spark, sf):
+    path = shared_folder(spark)
+    store.create_index(setup.documents(spark, sf), path)
+    store.write_index(_revised(spark, sf), path, "upsert")
+    return _stored_terms(spark, path)
 
 
 @query
@@ -372,13 +382,13 @@ def ix_postings(spark, sf):
 
 @query
 def ix_positions(spark, sf):
-    posts = ix.postings(setup.doc_rows(spark, sf), positions=True)
+    posts = store.positions_of(experiment(spark, sf).index.rows)
     return posts.select("term", "row_id", F.array_join(F.col("positions").cast("array<string>"), ",").alias("positions"))
 
 
 @query
 def ix_term_vectors(spark, sf):
-    vectors = ix.term_vectors(setup.doc_rows(spark, sf))
+    vectors = store.vectors_of(experiment(spark, sf).index.rows)
     return vectors.select("row_id", F.explode("vector").alias("term", "at")).select(
         "row_id", "term", F.array_join(F.col("at").cast("array<string>"), ",").alias("positions"))
 
@@ -386,10 +396,8 @@ def ix_term_vectors(spark, sf):
 @query
 def ix_stored_fields(spark, sf):
     e = experiment(spark, sf)
-    best = sc.best_hits(e.index, e.terms, CUT, lambda index: sc.score(index, e.terms))
-    stored = ix.with_row_ids(setup.documents(spark, sf))
-    hits = sc.with_documents(best, stored, e.terms.run_bytes(CUT), fields=("doc_id", "contents"))
-    return hits.select("query_id", "rank", "doc_id", "contents")
+    hits = setup.stored_run(spark, sf, "tfidf").select("query_id", "rank", "row_id")
+    return store.fetch(e.index, hits, e.terms.n_topics * CUT).select("query_id", "rank", "doc_id", "contents")
 
 
 @query

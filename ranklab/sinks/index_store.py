@@ -1,113 +1,188 @@
-"""The stored index: parquet tables, bucketed by document.
-
-Hash-partitioning the documents once, before they are tokenised, puts all
-postings of a document into one bucket. Every later search then joins the
-broadcast topic terms, sums the scores and takes the local top k without moving
-a posting; only k rows per task and topic are shuffled. A term that fills a
-third of all postings is spread over all buckets like any other.
-
-A batch counts from the moment its row in `coll_stats` is written, which is last.
-Before it writes anything it leaves its first row id in `intents`. Readers take
-only the row ids and term statistics of counted batches, so what a failed write
-left is never seen, and the next batch is numbered behind it.
+"""The stored index: one nested row per document, bucketed by document.
+
+`rows` holds (row_id, doc_id, dl, contents, terms, positions, batch): stored fields, term vector
+and positions of a document in one row, written in one pass over the texts. Postings are these
+rows opened up, and document lengths two of their columns, so neither is stored again.
+
+Hash-partitioning the documents once, before they are tokenised, puts all postings of a
+document into one bucket. Every later search then joins the broadcast topic terms, sums the
+scores and takes the local top k without moving a posting; only k rows per task and topic are
+shuffled. A term that fills a third of all postings is spread over all buckets like any other.
+
+All tables are partitioned by `part`, a hash of doc_id, so that documents with one id share a
+part. Replacing documents overwrites the parts that hold their ids and recounts the statistics of
+these parts. Every row carries the batch that wrote it; readers keep the rows of batches in the
+small table `batches`, whose row is written last, so what a failed append left is never seen. A failed
+`upsert_index` loses no stored document but the replaced ones, and is mended by running it again.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ranklab.functions import text as tx
 from ranklab.operators import index as ix
+from ranklab.session import broadcast_if, keep
 
-# Text bytes per bucket.
+# Text bytes per bucket, and per file of a bucket; a bucket has one file in each part.
 BUCKET_BYTES = 512 * 1024 * 1024
+FILE_BYTES = 32 * 1024 * 1024
+# Hits up to which their row ids are named in the scan, which then reads their buckets and row groups only.
+NAMED_ROWS = 1000
+
+_ROWS = ("row_id BIGINT, doc_id BIGINT, dl INT, contents STRING, terms ARRAY<STRUCT<term: STRING, tf: INT>>, "
+         "positions ARRAY<ARRAY<INT>>, batch STRING, part INT")
+_TERMS = "term STRING, df BIGINT, cf BIGINT, top_ratio DOUBLE, batch STRING, part INT"
+_COLL_STATS = "n_docs BIGINT, n_tokens BIGINT, first_row BIGINT, last_row BIGINT, batch STRING, part INT"
+_LAYOUT = "buckets INT, parts INT"
+
+
+@contextmanager
+def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings for one statement; what was there before comes back."""
+    named = {f"spark.sql.{k.replace('__', '.')}": v for k, v in values.items()}
+    before = {k: spark.conf.get(k) for k in named}
+    for k, v in named.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
-_COLL_STATS = "n_docs BIGINT, n_tokens BIGINT, first_row BIGINT, last_row BIGINT"
 
-# Columns in the order they are written, and the order of rows inside a bucket.
-_TABLES = {
-    "documents": ("row_id BIGINT, doc_id BIGINT, dl INT", "row_id"),
-    "postings": ("term STRING, row_id BIGINT, tf INT, dl INT", "row_id"),
-}
+def bucket_count(spark: SparkSession, n_bytes: int) -> int:
+    """At least one bucket per core, more when the text is large."""
+    return max(spark.sparkContext.defaultParallelism, -(-n_bytes // BUCKET_BYTES))
 
 
-def bucket_count(docs: DataFrame) -> int:
-    """At least one bucket per core, more when the text, whose bytes are counted, is large."""
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("contents")), F.lit(0)).alias("n")).first()["n"]
-    return max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
+def _name(path: str) -> str:
+    return f"ranklab_rows_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
+
+
+def _rows(spark: SparkSession, path: str, buckets: int) -> DataFrame:
+    """The stored rows by a table name, which is how Spark learns of their bucketing."""
+    table = _name(path)
+    if not spark.catalog.tableExists(table):
+        place = f"{path}/rows".replace("\\", "\\\\").replace("'", "\\'")
+        most = max(buckets, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+        # folders are found by listing, so that another application's parts and batches are seen
+        with _settings(spark, sources__bucketing__maxBuckets=str(most), hive__manageFilesourcePartitions="false"):
+            spark.sql(f"CREATE TABLE {table} ({_ROWS}) USING parquet PARTITIONED BY (part) CLUSTERED BY (row_id) "
+                      f"SORTED BY (row_id) INTO {buckets} BUCKETS LOCATION '{place}'")
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
+def _layout(spark: SparkSession, path: str) -> tuple[int, int]:
+    return tuple(spark.read.schema(_LAYOUT).parquet(f"{path}/layout").first())
+
+
+def _batches(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
+    """The finished batches and a bound of their bytes."""
+    done = spark.read.schema("batch STRING").parquet(f"{path}/batches")
+    return done, done.count() * 64
+
+
+def _visible(spark: SparkSession, path: str, table: DataFrame) -> DataFrame:
+    done, size = _batches(spark, path)
+    return table.join(broadcast_if(done, size), "batch", "left_semi")
+
+
+def _part(parts: int) -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int")
+
+
+def _nested(docs: DataFrame, first: int | None, parts: int, buckets: int, batch: str) -> DataFrame:
+    """Rows to store of (doc_id, contents), numbered from `first` on (None: a new index)."""
+    numbered = ix.with_row_ids(docs.select("doc_id", "contents"), lowest=first)
+    words = numbered.repartition(buckets, "row_id").withColumn("words", tx.tokens(F.col("contents")))
+    runs = words.withColumn("runs", tx.term_positions(F.col("words")))
+    return runs.select(
+        "row_id", "doc_id", F.coalesce(F.size("words"), F.lit(0)).alias("dl"), "contents",
+        F.transform("runs", lambda r: F.struct(r["term"].alias("term"), r["tf"].alias("tf"))).alias("terms"),
+        F.transform("runs", lambda r: r["positions"]).alias("positions"), F.lit(batch).alias("batch"), _part(parts).alias("part"))
+
+
+def postings_of(rows: DataFrame, *kept: str) -> DataFrame:
+    """(term, row_id, tf, dl and `kept`): stored rows opened up; a document's postings stay in its partition."""
+    return rows.select("row_id", "dl", *kept, F.inline("terms")).select("term", "row_id", "tf", "dl", *kept)
+
 
+def positions_of(rows: DataFrame) -> DataFrame:
+    """(row_id, term, positions) from the stored rows."""
+    return rows.select("row_id", F.inline(F.arrays_zip(F.col("terms.term").alias("term"), "positions")).alias("term", "positions"))
 
-def _name(path: str, name: str) -> str:
-    return f"ranklab_{name}_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
 
+def vectors_of(rows: DataFrame) -> DataFrame:
+    """(row_id, vector): the stored map from term to its positions; empty for a document without words."""
+    some = F.map_from_arrays(F.col("terms.term"), "positions")
+    return rows.select("row_id", F.coalesce(some, F.expr("cast(map() as map<string, array<int>>)")).alias("vector"))
 
-def _register(spark: SparkSession, path: str, name: str, buckets: int) -> str:
-    """Give the stored files a table name, which is how Spark learns of their bucketing."""
-    columns, order = _TABLES[name]
-    table = _name(path, name)
-    if spark.catalog.tableExists(table):
-        spark.catalog.refreshTable(table)
-        return table
-    allowed = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
-    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", str(max(allowed, buckets)))
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (row_id) "
-              f"SORTED BY ({order}) INTO {buckets} BUCKETS LOCATION '{path}/{name}'")
-    return table
 
+def fetch(index: ix.Index, hits: DataFrame, n_hits: int, fields: tuple[str, ...] = ("doc_id", "contents")) -> DataFrame:
+    """`hits` with stored fields of their rows. Of few hits the scan names the row ids, so that it
+    reads their buckets, and there the row groups that hold them; of many it is joined with them."""
+    stored = index.rows.select("row_id", *fields)
+    if n_hits <= NAMED_ROWS:
+        stored = stored.where(F.col("row_id").isin([r["row_id"] for r in hits.select("row_id").distinct().collect()]))
+    return stored.join(broadcast_if(hits, n_hits * 64), "row_id")
 
-def _write(docs: DataFrame, path: str, buckets: int, above: int | None) -> None:
-    """Write one batch of (doc_id, contents); `above` is the highest row_id stored so far."""
+
+def _count(spark: SparkSession, rows: DataFrame, path: str, mode: str) -> None:
+    """Write the statistics of `rows` per part and batch. In mode `overwrite` they replace those of the same parts."""
+    terms = ix.term_stats(postings_of(rows, "batch", "part"), "batch", "part")
+    sums = ix.coll_stats(rows, "batch", "part")
+    # a part without a word left is still overwritten
+    empty = sums.select("part").distinct().selectExpr("cast(null as string) term", "0L df", "0L cf", "0D top_ratio", "'' batch", "part")
+    for name, table, schema in (("term_stats", terms.unionByName(empty), _TERMS), ("coll_stats", sums, _COLL_STATS)):
+        (table.select(*[c.split()[0] for c in schema.split(", ")]).write.mode(mode)
+         .option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(f"{path}/{name}"))
+
+
+def _finish(spark: SparkSession, path: str, batch: str) -> None:
+    spark.createDataFrame([(batch,)], "batch STRING").write.mode("append").parquet(f"{path}/batches")
+
+
+def _above(stored: DataFrame) -> int:
+    """The first row id above all that lie there, those of failed writes included."""
+    last = stored.agg(F.max("row_id").alias("n")).first()["n"]
+    return 0 if last is None else last + 1
+
+
+def create_index(docs: DataFrame, path: str, buckets: int | None = None, parts: int | None = None) -> None:
+    """Store a new index of (doc_id, contents); one that lies there is replaced. Other columns are left out."""
     spark = docs.sparkSession
-    fresh = above is None
-    start = 0 if fresh else above + 1
-    mode = "overwrite" if fresh else "append"
-    if fresh:  # from here on nothing of an index that lay here counts
-        spark.createDataFrame([], f"{_COLL_STATS}, batch BIGINT").write.mode(mode).parquet(f"{path}/coll_stats")
-    spark.createDataFrame([(start,)], "batch BIGINT").write.mode(mode).parquet(f"{path}/intents")
-    low = docs.agg(F.min("doc_id").alias("low")).first()["low"] or 0
-    first = 0 if fresh else start - low
-    docs = docs.select("doc_id", "contents")
-    rows = ix.with_row_ids(docs, first if fresh or ix.ids_can_number(docs) else start).repartition(buckets, "row_id")
-
-    posts = _register(spark, path, "postings", buckets)
-    ix.postings(rows).write.insertInto(posts, overwrite=fresh)
-    spark.catalog.refreshTable(posts)
-    batch = spark.table(posts) if fresh else spark.table(posts).where(F.col("row_id") > above)
-
-    lengths = batch.groupBy("row_id").agg(F.max("dl").alias("dl"))
-    documents = _register(spark, path, "documents", buckets)
-    (rows.select("row_id", "doc_id").join(lengths, "row_id", "left")
-     .select("row_id", "doc_id", F.coalesce("dl", F.lit(0)).alias("dl"))
-     .write.insertInto(documents, overwrite=fresh))
-
-    ix.term_stats(batch).withColumn("batch", F.lit(start).cast("bigint")).write.mode(mode).parquet(f"{path}/term_stats")
-    spark.catalog.refreshTable(documents)
-    added = spark.table(documents) if fresh else spark.table(documents).where(F.col("row_id") > above)
-    ix.coll_stats(added).withColumn("batch", F.lit(start).cast("bigint")).write.mode("append").parquet(f"{path}/coll_stats")
-
-
-def create_index(docs: DataFrame, path: str, buckets: int | None = None) -> None:
-    """Store a new index of (doc_id, contents); one that lies there is replaced."""
-    n = buckets or bucket_count(docs)
-    for name in _TABLES:
-        docs.sparkSession.sql(f"DROP TABLE IF EXISTS {_name(path, name)}")
-    docs.sparkSession.createDataFrame([(n,)], "buckets INT").write.mode("overwrite").parquet(f"{path}/layout")
-    _write(docs, path, n, None)
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("contents")), F.lit(0)).alias("n")).first()["n"]
+    buckets = buckets or bucket_count(spark, size)
+    parts = parts or max(1, size // (buckets * FILE_BYTES))
+    spark.sql(f"DROP TABLE IF EXISTS {_name(path)}")
+    # from here on nothing of an index that lay here counts
+    for name, schema in (("batches", "batch STRING"), ("rows", _ROWS), ("term_stats", _TERMS), ("coll_stats", _COLL_STATS)):
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{name}")
+    spark.createDataFrame([(buckets, parts)], _LAYOUT).write.mode("overwrite").parquet(f"{path}/layout")
+    _add(docs, path, None)
+
+
+def _add(docs: DataFrame, path: str, first: int | None) -> None:
+    spark, batch = docs.sparkSession, uuid.uuid4().hex[:16]
+    buckets, parts = _layout(spark, path)
+    _rows(spark, path, buckets)
+    _nested(docs, first, parts, buckets, batch).write.insertInto(_name(path))
+    _count(spark, _rows(spark, path, buckets).where(F.col("batch") == batch), path, "append")
+    _finish(spark, path, batch)
 
 
 def append_index(docs: DataFrame, path: str) -> None:
     """Add documents behind the stored ones. Only the new ones are tokenised and counted."""
     spark = docs.sparkSession
-    buckets = spark.read.parquet(f"{path}/layout").first()["buckets"]
-    counted = _batches(spark, path)
-    above = max((r["last_row"] for r in counted if r["last_row"] is not None), default=-1)
-    begun = {r["batch"] for r in spark.read.parquet(f"{path}/intents").collect()}
-    if begun - {r["batch"] for r in counted}:   # a write failed: number behind whatever it left
-        left = _stored(spark, path, "postings", buckets).select("row_id").union(_stored(spark, path, "documents", buckets).select("row_id"))
-        above = max(above, *begun, left.agg(F.max("row_id").alias("n")).first()["n"] or 0)
-    _write(docs, path, buckets, above)
+    _add(docs, path, _above(_rows(spark, path, _layout(spark, path)[0])))
 
 
 def create_or_append_index(docs: DataFrame, path: str) -> None:
@@ -119,41 +194,44 @@ def create_or_append_index(docs: DataFrame, path: str) -> None:
         append_index(docs, path)
 
 
+def upsert_index(docs: DataFrame, path: str) -> None:
+    """Replace the stored documents whose doc_id comes again, and add the others, all behind the stored ones.
+
+    Only parts that hold an id of `docs` are read and overwritten, and only their statistics are counted
+    anew, so that these equal those of a fresh index. Rows that repeat an id in `docs` all stay; a
+    null id replaces nothing. Without documents nothing happens.
+    """
+    spark, batch = docs.sparkSession, uuid.uuid4().hex[:16]
+    buckets, parts = _layout(spark, path)
+    stored = _rows(spark, path, buckets)
+    new = keep(_nested(docs, _above(stored), parts, buckets, batch))
+    touched = [r["part"] for r in new.select("part").distinct().collect()]   # at most `parts` numbers
+    if not touched:
+        return
+    here = _visible(spark, path, stored.where(F.col("part").isin(touched)))
+    left = here.join(new.select("doc_id").distinct(), "doc_id", "left_anti")
+    names = stored.columns
+    _finish(spark, path, batch)   # before its rows: the replaced and the new rows change places in one write
+    with _settings(spark, sources__partitionOverwriteMode="dynamic"):
+        (left.select(*names).unionByName(new.select(*names)).repartition(buckets, "row_id")
+         .write.insertInto(_name(path), overwrite=True))
+    _count(spark, _rows(spark, path, buckets).where(F.col("part").isin(touched)), path, "overwrite")
+
+
 def write_index(docs: DataFrame, path: str, mode: str = "create", lenient: bool = False) -> None:
-    """`create`, `append` or `create_or_append`; any other name is an error unless lenient."""
-    writers = {"create": create_index, "append": append_index, "create_or_append": create_or_append_index}
+    """`create`, `append`, `create_or_append` or `upsert`; any other name is an error unless lenient."""
+    writers = {"create": create_index, "append": append_index, "create_or_append": create_or_append_index, "upsert": upsert_index}
     if mode not in writers and not lenient:
         raise ValueError(f"unknown index mode {mode!r}")
     writers.get(mode, create_index)(docs, path)
 
 
-def _batches(spark: SparkSession, path: str) -> list:
-    """One row for each counted batch."""
-    return spark.read.schema(f"{_COLL_STATS}, batch BIGINT").parquet(f"{path}/coll_stats").collect()
-
-
-def _stored(spark: SparkSession, path: str, name: str, buckets: int) -> DataFrame:
-    return spark.table(_register(spark, path, name, buckets))
-
-
 def open_index(spark: SparkSession, path: str) -> ix.Index:
-    """The stored tables. Statistics hold one part per batch; their users add them up."""
-    buckets = spark.read.parquet(f"{path}/layout").first()["buckets"]
-    counted = _batches(spark, path)
-    batches = [r["batch"] for r in counted]
-    begun = spark.read.parquet(f"{path}/intents").count()
-    tables = {name: _stored(spark, path, name, buckets) for name in _TABLES}
-    if begun > len(batches):   # something is stored that does not count
-        inside = F.lit(False)
-        for r in counted:
-            if r["first_row"] is not None:
-                inside = inside | F.col("row_id").between(r["first_row"], r["last_row"])
-        tables = {name: t.where(inside) for name, t in tables.items()}
-    terms = spark.read.schema("term STRING, df BIGINT, cf BIGINT, top_ratio DOUBLE, batch BIGINT").parquet(f"{path}/term_stats")
-    if begun > len(batches):
-        terms = terms.where(F.col("batch").isin(batches))
-    return ix.Index(tables["documents"], tables["postings"], terms.drop("batch"),
-                    spark.read.schema(_COLL_STATS).parquet(f"{path}/coll_stats"))
+    """The stored tables. Statistics hold a row per part and batch; their users add them up."""
+    rows = _visible(spark, path, _rows(spark, path, _layout(spark, path)[0])).drop("batch", "part")
+    stats = {name: _visible(spark, path, spark.read.schema(schema).parquet(f"{path}/{name}")).drop("batch", "part")
+             for name, schema in (("term_stats", _TERMS), ("coll_stats", _COLL_STATS))}
+    return ix.Index(rows.select("row_id", "doc_id", "dl"), postings_of(rows), rows=rows, **stats)
 
 
 def count_documents(index: ix.Index) -> DataFrame:

@@ -91,6 +91,58 @@ def test_a_failed_write_is_never_seen(spark, terms, monkeypatch, failing):
     assert found(store.open_index(spark, path), terms) == plain(TEXTS + more, "the lens eye")
 
 
+def statistics(index):
+    terms = sorted(map(tuple, ix.merge_term_stats(index.term_stats).collect()))
+    return terms, ix.merge_coll_stats(index.coll_stats).first()
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_stored_upsert_equals_a_fresh_index(spark, terms, parts):
+    """Repeated ids, an emptied text, a part that loses all its words, a null id, and an append that failed before."""
+    path, fresh = shared_folder(spark), shared_folder(spark)
+    store.create_index(frame(spark, TEXTS), path, buckets=2, parts=parts)
+    store.append_index(frame(spark, [(0, "lens of a lens"), (3, "the eye"), (None, "the lens")]), path)
+    store._nested(frame(spark, [(1, "lost"), (40, "lost")]), 100, parts, 2, "unfinished").write.insertInto(store._name(path))
+    new = [(1, "an eye lens"), (0, None), (7, ""), (None, "eye"), (9, "the lens"), (9, "eyes")]
+    store.write_index(frame(spark, new), path, "upsert")
+    want = [(2, "the liver"), (2, "the liver"), (3, "the eye"), (None, "the lens"), (1, "an eye lens"), (0, ""), (7, ""),
+            (None, "eye"), (9, "the lens"), (9, "eyes")]
+    store.create_index(frame(spark, want), fresh)
+    index = store.open_index(spark, path)
+    assert found(index, terms) == plain(want, "the lens eye")
+    assert statistics(index) == statistics(store.open_index(spark, fresh))
+    assert sorted(((r["doc_id"], r["contents"] or "") for r in index.rows.collect()), key=str) == sorted(want, key=str)
+    store.upsert_index(frame(spark, new[:0]), path)
+    store.upsert_index(frame(spark, [(i, "") for i in (0, 1, 2, 3, 7, 9)]), path)
+    assert statistics(store.open_index(spark, path)) == ([("eye", 1, 1, 1.0), ("lens", 1, 1, 0.5), ("the", 1, 1, 0.5)], (8, 3))
+
+
+def test_a_failed_upsert_is_mended_by_another(spark, terms, monkeypatch):
+    path, new = shared_folder(spark), [(1, "an eye lens"), (9, "the lens")]
+    store.create_index(frame(spark, TEXTS), path, parts=2)
+    with monkeypatch.context() as broken:
+        broken.setattr(store.ix, "coll_stats", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store.upsert_index(frame(spark, new), path)
+    store.upsert_index(frame(spark, new), path)
+    assert found(store.open_index(spark, path), terms) == plain([t for t in TEXTS if t[0] != 1] + new, "the lens eye")
+
+
+def test_stored_rows_give_positions_vectors_and_fields(spark, terms, monkeypatch):
+    path = shared_folder(spark)
+    store.create_index(frame(spark, [(1, "a lens a"), (2, None), (5, "lens")]), f"{path}/it's", buckets=3)
+    index = store.open_index(spark, f"{path}/it's")
+    assert sorted(map(tuple, store.positions_of(index.rows).collect())) == [(1, "a", [0, 2]), (1, "lens", [1]), (5, "lens", [0])]
+    assert dict(map(tuple, store.vectors_of(index.rows).collect())) == {1: {"a": [0, 2], "lens": [1]}, 2: {}, 5: {"lens": [0]}}
+    hits = sc.run(index, terms, 10).select("query_id", "row_id", "rank")
+    few = store.fetch(index, hits, 2)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "row_id" in plan[plan.index("PushedFilters"):] and "positions" not in plan[plan.index("ReadSchema"):]
+    monkeypatch.setattr(store, "NAMED_ROWS", 0)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, store.fetch(index, hits, 2).collect()))
+    assert {r["contents"] for r in few.collect()} == {"a lens a", "lens"}
+
+
 def write(spark, text):
     path = f"{tempfile.mkdtemp(prefix='ranklab-test-')}/lines.txt"
     with open(path, "w", newline="") as out:

@@ -69,23 +69,31 @@ def doc_length(compat: Compat) -> Column:
     return tx.quantize_length(F.col("dl")) if compat.quantize else F.col("dl")
 
 
-def tfidf_weights(index: Index, topics: TopicTerms, copies: int = 1) -> DataFrame:
-    """(query_id, term, weight, top_ratio): weight = qtf * (ln((N+1)/(df+1)) + 1).
+def term_weight(index: Index, copies: int = 1) -> Column:
+    """qtf * (ln((N+1)/(df+1)) + 1).
 
     A collection of `copies` copies of each document has N and df times as large;
     no document needs to be stored twice for that.
     """
     n = scalar(index.coll_stats, F.sum("n_docs"))
-    idf = F.ln((n * copies + 1) / (F.col("df") * copies + 1)) + 1
-    return stats_of_terms(index, topics).select(
-        "query_id", "term", (F.col("qtf") * idf).alias("weight"), "top_ratio")
+    return F.col("qtf") * (F.ln((n * copies + 1) / (F.col("df") * copies + 1)) + 1)
 
 
-def jm_weights(index: Index, topics: TopicTerms, copies: int = 1) -> DataFrame:
-    """(query_id, term, qtf, p, top_ratio): p = (cf+1)/(T+1), the collection probability."""
+def term_probability(index: Index, copies: int = 1) -> Column:
+    """(cf+1)/(T+1), the collection probability."""
     n = scalar(index.coll_stats, F.sum("n_tokens"))
-    p = (F.col("cf") * copies + 1) / (n * copies + 1).cast("double")
-    return stats_of_terms(index, topics).select("query_id", "term", "qtf", p.alias("p"), "top_ratio")
+    return (F.col("cf") * copies + 1) / (n * copies + 1).cast("double")
+
+
+def tfidf_weights(index: Index, topics: TopicTerms, copies: int = 1) -> DataFrame:
+    """(query_id, term, weight, top_ratio)."""
+    return stats_of_terms(index, topics).select("query_id", "term", term_weight(index, copies).alias("weight"), "top_ratio")
+
+
+def jm_weights(index: Index, topics: TopicTerms, copies: int = 1) -> DataFrame:
+    """(query_id, term, qtf, p, top_ratio), p the collection probability."""
+    return stats_of_terms(index, topics).select(
+        "query_id", "term", "qtf", term_probability(index, copies).alias("p"), "top_ratio")
 
 
 def jm_part(lam: Column | float, ratio: Column) -> Column:
@@ -124,15 +132,20 @@ def count_by_bitmaps(index: Index, topics: TopicTerms, copies: int = 1) -> DataF
     return bits.groupBy("query_id").agg((F.sum(F.bitmap_count("bits")) * copies).alias("n_matches"))
 
 
+def known_model(model: str, compat: Compat) -> str:
+    """`tfidf` or `jm`; any other name is an error, or TF-IDF where names are lenient."""
+    if model in ("tfidf", "jm"):
+        return model
+    if not compat.lenient_names:
+        raise ValueError(f"unknown model {model!r}")
+    return "tfidf"
+
+
 def score(index: Index, topics: TopicTerms, model: str = "tfidf", lam: Column | float = 0.5,
           compat: Compat = STANDARD) -> DataFrame:
     """(query_id, row_id, score) of every document that shares a term with the topic."""
-    if model not in ("tfidf", "jm"):
-        if not compat.lenient_names:
-            raise ValueError(f"unknown model {model!r}")
-        model = "tfidf"
     length = doc_length(compat)
-    if model == "tfidf":
+    if known_model(model, compat) == "tfidf":
         found = matches(index, tfidf_weights(index, topics, compat.copies), topics)
         part = F.col("weight") * F.sqrt("tf") / F.sqrt(length)
     else:
@@ -143,6 +156,21 @@ def score(index: Index, topics: TopicTerms, model: str = "tfidf", lam: Column |
     return found.groupBy("query_id", "row_id").agg(F.sum(part).alias("score"))
 
 
+def score_models(index: Index, topics: TopicTerms, models: Sequence[str], lam: float = 0.5,
+                 compat: Compat = STANDARD) -> DataFrame:
+    """(query_id, model, row_id, score) under several models: one join and one aggregation for all of them."""
+    weights = stats_of_terms(index, topics).select(
+        "query_id", "term", "qtf", term_weight(index, compat.copies).alias("weight"), term_probability(index, compat.copies).alias("p"))
+    length = doc_length(compat)
+    parts = {"tfidf": F.col("weight") * F.sqrt("tf") / F.sqrt(length),
+             "jm": jm_part(F.lit(float(lam)), F.col("tf") / length / F.col("p"))}
+    asked = {m: known_model(m, compat) for m in models}
+    wide = matches(index, weights, topics).groupBy("query_id", "row_id").agg(
+        *[F.sum(parts[m]).alias(m) for m in parts if m in asked.values()])
+    cells = F.array(*[F.struct(F.lit(m).alias("model"), F.col(known).alias("score")) for m, known in asked.items()])
+    return wide.select("query_id", "row_id", F.inline(cells)).select("query_id", "model", "row_id", "score")
+
+
 def score_grid(index: Index, topics: TopicTerms, lams: Sequence[float] = LAMBDAS,
                compat: Compat = STANDARD) -> DataFrame:
     """(query_id, lam, row_id, score): one join and one aggregation for all lambdas."""
@@ -239,6 +267,14 @@ def run_grid(index: Index, topics: TopicTerms, k: int, lams: Sequence[float] = L
     return with_documents(best, index.documents, topics.run_bytes(k) * len(lams), compat.copies)
 
 
+def run_models(index: Index, topics: TopicTerms, k: int, models: Sequence[str], lam: float = 0.5,
+               compat: Compat = STANDARD) -> DataFrame:
+    """The rankings of every topic under every model, from one scan of the postings."""
+    best = best_hits(index, topics, k, lambda part: score_models(part, topics, models, lam, compat),
+                     ("query_id", "model"), len(models), compat.copies)
+    return with_documents(best, index.documents, topics.run_bytes(k) * len(models), compat.copies)
+
+
 def display_top(ranked: DataFrame, top: int, cut: int) -> DataFrame:
     """The best `top` of the `cut` hits that were kept."""
     return ranked.where(F.col("rank") <= F.least(F.lit(top), F.lit(cut)))

@@ -292,9 +292,8 @@ def _hits(run, *extra):
 @query
 def sel_model(spark, sf):
     e = experiment(spark, sf)
-    runs = [_hits(sc.run(e.index, e.terms, CUT, model, 0.5, Compat(lenient_names=True)), F.lit(model).alias("model"))
-            for model in ("tfidf", "jm", "bm25")]
-    return runs[0].unionByName(runs[1]).unionByName(runs[2])
+    ranked = sc.run_models(e.index, e.terms, CUT, ("tfidf", "jm", "bm25"), 0.5, Compat(lenient_names=True))
+    return _hits(ranked, "model")
 
 
 @query

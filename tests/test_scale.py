@@ -170,6 +170,21 @@ def test_no_shuffle_before_the_local_top_k(spark, frames):
     assert "Exchange" not in local and "Bucketed: true" in plan
 
 
+def test_several_models_from_one_scan(spark, frames):
+    docs, topics = frames
+    path = shared_folder(spark)
+    store.create_index(docs, path, buckets=4)
+    index, terms = store.open_index(spark, path), sc.measure_terms(topics)
+    scores = sc.score_models(index, terms, ("tfidf", "jm", "x"), 0.3, Compat(lenient_names=True))
+    assert scores._jdf.queryExecution().executedPlan().toString().count("Bucketed: true") == 1
+    with pytest.raises(ValueError):
+        sc.score_models(index, terms, ("x",))
+    both = sc.run_models(index, terms, 7, ("tfidf", "jm"), 0.3)
+    rows = both.select("model", "query_id", "rank", "row_id", F.round("score", 9)).collect()
+    for model in ("tfidf", "jm"):
+        assert sorted(tuple(r)[1:] for r in rows if r["model"] == model) == ranking(sc.run(index, terms, 7, model, 0.3))
+
+
 def test_counting_words_needs_no_shuffle(spark, frames):
     plan = ix.postings(ix.with_row_ids(frames[0]))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan

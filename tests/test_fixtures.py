@@ -176,15 +176,22 @@ def test_average_precision(spark):
     assert (rows[2].p, rows[2].r, rows[2].ap) == (0.0, None, 0.0)
 
 
-GRID = {11: [.8, .8, .8, 1, 1, 1, 1, 1, 1, 0], 12: [.6] * 9 + [0], 13: [1.0] * 9 + [0],
-        14: [.8, .6, .4, .4, .4, .4, .4, .4, .4, 0], 15: [1.0] * 9 + [0]}
+# The published training rows, a topic each, lambda 0.1 to 1.0.
+GRID = {
+    11: [0.8, 0.8, 0.8, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 0.0],
+    12: [0.6, 0.6, 0.6, 0.6, 0.6, 0.6, 0.6, 0.6, 0.6, 0.0],
+    13: [1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 0.0],
+    14: [0.8, 0.6, 0.4, 0.4, 0.4, 0.4, 0.4, 0.4, 0.4, 0.0],
+    15: [1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 0.0],
+}
 
 
 def test_training_grid(spark):
     rows = [(q, lam, float(v)) for q, vs in GRID.items() for lam, v in zip(sc.LAMBDAS, vs)]
     grid = spark.createDataFrame(rows, "query_id bigint, lam double, value double")
     compat = {r.lam: r.mean_value for r in tune.lambda_means(grid, REFERENCE).collect()}
-    expected = [0.381818, 0.363636, 0.345455] + [0.363636] * 6 + [0.0]
+    # fixed values
+    expected = [0.381818, 0.363636, 0.345455, 0.363636, 0.363636, 0.363636, 0.363636, 0.363636, 0.363636, 0.0]
     assert [compat[x] for x in sc.LAMBDAS] == pytest.approx(expected, abs=1e-6)
     assert tune.best_lambda(grid, REFERENCE).first().lam == 0.4
     best = tune.best_lambda(grid).first()
@@ -196,7 +203,8 @@ def test_training_grid(spark):
     lines = reports.grid_csv(tune.grid_pivot(grid), means, "MAP", 5, number=reports.single)
     text = [r.value for r in lines.orderBy("section", "query_id", "line_no").collect()]
     assert text[3] == "12;0.6;0.6;0.6;0.6;0.6;0.6;0.6;0.6;0.6;0.0;"
-    assert text[-1] == "Promedio:;" + "0.38181818;0.36363637;0.34545454;" + "0.36363637;" * 6 + "0.0;"
+    assert text[-1] == ("Promedio:;0.38181818;0.36363637;0.34545454;0.36363637;0.36363637;0.36363637;"
+                        "0.36363637;0.36363637;0.36363637;0.0;")
 
 
 # ---- paired tests ----------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ranklab.functions import text as tx
 from ranklab.sources.tagged import read_tagged
@@ -20,7 +20,11 @@ def records_in(chunks: DataFrame, text: str = "value") -> DataFrame:
     """
     kept = [c for c in chunks.columns if c != text]
     parts = chunks.select(*kept, F.explode(F.split(tx.unix_lines(F.col(text)), _END_LINE)).alias("part"))
-    lined = parts.select(*kept, F.split(F.regexp_replace("part", r"\n\z", ""), "\n").alias("lines"))
+    return _record_of(parts.select(*kept, F.split(F.regexp_replace("part", r"\n\z", ""), "\n").alias("lines")), kept)
+
+
+def _record_of(lined: DataFrame, kept: list[str]) -> DataFrame:
+    """The record in each list of lines; lists without an integer line have none."""
     is_id = F.transform("lines", lambda line: tx.parse_int(line).isNotNull())
     found = lined.withColumn("at", F.array_position(is_id, F.lit(True)).cast("int")).where("at > 0")
     return (found.select(*kept, F.get("lines", F.col("at") - 1).cast("bigint").alias("doc_id"),
@@ -29,18 +33,34 @@ def records_in(chunks: DataFrame, text: str = "value") -> DataFrame:
                     .otherwise("").alias("contents")))
 
 
-def read_records(spark: SparkSession, path: str, skip_unreadable: bool = False, line_end: str = "\n") -> DataFrame:
+def read_records(spark: SparkSession, path: str, skip_unreadable: bool = False, line_end: str | None = None) -> DataFrame:
     """(path, doc_id, contents) of every file below a folder, or of one file.
 
-    The record end is the line separator, so a large file is split over tasks: with
-    `line_end` "\\r\\n" for files of that kind. Other spellings of the `/` line (blanks
-    around it) are handled in `records_in`. A file that cannot be read is an error;
-    with `skip_unreadable` Spark logs its path and goes on.
+    Files are read line by line, so that any line end and blanks around the `/` may stand in one
+    file and a large file is still split. Lines are numbered inside their split by the `/` lines before
+    them; the counts of earlier splits of the file are added, so that a record which crosses splits
+    has one number in all of them. The lines move twice: by split, then by record.
+
+    With `line_end`, all records are known to end with exactly `line_end`, `/`, `line_end`: that is then
+    the reader's separator, and nothing moves. Empty files have no records; a last record needs no `/`
+    line. A file that cannot be read is an error; with `skip_unreadable` Spark logs its path and goes on.
     """
-    chunks = (spark.read.option("recursiveFileLookup", True).option("lineSep", f"{line_end}/{line_end}")
-              .option("ignoreCorruptFiles", skip_unreadable).text(path)
-              .select(F.col("_metadata.file_path").alias("path"), "value"))
-    return records_in(chunks)
+    reader = spark.read.option("recursiveFileLookup", True).option("ignoreCorruptFiles", skip_unreadable)
+    path_column = F.col("_metadata.file_path").alias("path")
+    if line_end is not None:
+        return records_in(reader.option("lineSep", f"{line_end}/{line_end}").text(path).select(path_column, "value"))
+    lines = reader.text(path).select(path_column, F.col("_metadata.file_block_start").alias("split"), "value",
+                                     (tx.trim_controls(F.col("value")) == "/").alias("ends"))
+    n_ends = F.sum(F.col("ends").cast("long"))
+    earlier = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    counts = lines.groupBy("path", "split").agg(n_ends.alias("n")).select(
+        "path", "split", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    above = Window.partitionBy("path", "split").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = (lines.withColumn("at", F.monotonically_increasing_id())
+                .withColumn("here", F.coalesce(n_ends.over(above), F.lit(0))).join(counts, ["path", "split"])
+                .where("not ends").groupBy("path", (F.col("before") + F.col("here")).alias("record"))
+                .agg(F.array_sort(F.collect_list(F.struct("split", "at", "value"))).alias("told")))
+    return _record_of(numbered.select("path", F.col("told.value").alias("lines")), ["path"])
 
 
 def record_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -48,7 +68,7 @@ def record_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return docs.withColumn("value", F.concat(F.col(key).cast("string"), F.lit("\n"), F.coalesce(F.col(text), F.lit("")), F.lit("\n/")))
 
 
-def read_collection(spark: SparkSession, path: str, skip_unreadable: bool = False, line_end: str = "\n") -> DataFrame:
+def read_collection(spark: SparkSession, path: str, skip_unreadable: bool = False, line_end: str | None = None) -> DataFrame:
     """(doc_id, contents): a path with `.ALL` or `.all` in it is a tagged collection,
     any other one a folder of document files."""
     if ".ALL" in path or ".all" in path:

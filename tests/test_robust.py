@@ -187,6 +187,33 @@ def test_windows_line_ends_are_split(spark):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+@pytest.mark.parametrize("split", ["512", "4k", "1g"])
+def test_records_cross_splits_with_any_line_ends(spark, tmp_path, split):
+    """Windows and Unix line ends, blanks around the mark, slashes in bodies, long records, several files."""
+    want = {}
+    for name, mark, end in (("a", "/", "\r\n"), ("b", " / ", "\n"), ("c", "/\t", "\r")):
+        told = "noise\n"
+        for i in range(400):
+            body = [f"{name} body {i}", "/usr/bin", "a / b", ""] + ["long line of a long record"] * (i % 97 == 0) * 120
+            told += f"{i}\n" + "\n".join(body) + f"\n{mark}\nbetween\n"
+            want[name, i] = "".join(f"{line} " for line in body)
+        told += "9999\nlast"
+        want[name, 9999] = "last "
+        (tmp_path / name).write_bytes(told.replace("\n", end).encode())
+    (tmp_path / "empty").write_bytes(b"")
+    (tmp_path / "no_id").write_bytes(b"x\ny\n/\n/\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        if split == "4k":
+            assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 5
+        rows = records.read_records(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert {(r["path"].rsplit("/", 1)[1], r["doc_id"]): r["contents"] for r in rows} == want and len(rows) == len(want)
+
+
 def test_later_topic_wins(spark):
     one, two = (spark.createDataFrame([(1, t), (n, t)], "query_id long, text string") for t, n in (("first", 2), ("second", 3)))
     assert sorted(map(tuple, tagged.union_topics(one, two).collect())) == [(1, "second"), (2, "first"), (3, "second")]

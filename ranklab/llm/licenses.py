@@ -7,8 +7,9 @@ a detection is suppressed that lies within a kept one of at least its priority;
 what is left gives the labels. The base phrases are rules like the others, but
 what they find is never suppressed.
 
-The rules are made from a table of licenses and a few sentence forms, one regex for
-each license, version and form, several hundred in all.
+The rules (`license_rules`) are written by hand, several hundred of them: tags, names with and
+without versions, short forms, granting sentences, sentences of the license texts, exceptions
+and statements about rights.
 """
 
 from __future__ import annotations
@@ -23,55 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ranklab.llm.common import map_batches, take, words
+from ranklab.llm.license_rules import RULES
 
 # The base phrases and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Label stem, the name's words as a regex, versions ("" is none), keyword of the gate.
-LICENSES = [
-    ("apache", "apache(?: software)?(?: license| licence)?", ["1 0", "1 1", "2 0"], "apache"),
-    ("mit", "mit", [""], "mit"), ("mit-0", "mit no attribution", [""], "mit"), ("x11", "x11", [""], "x11"),
-    ("bsd", "(?:(?:original|new|simplified|modified) )?bsd", ["", "2 clause", "3 clause", "4 clause"], "bsd"),
-    ("isc", "isc", [""], "isc"), ("zlib", "zlib", [""], "zlib"), ("boost", "boost software", ["", "1 0"], "boost"),
-    ("gpl", "(?:gnu )?(?:general public|gpl)", ["1", "2", "3"], "gpl"),
-    ("gpl", "(?:gnu )?general public", ["", "1", "2", "3"], "public"),
-    ("lgpl", "(?:gnu )?(?:lesser|library) general public", ["", "2", "2 1", "3"], "public"),
-    ("lgpl", "(?:gnu )?lgpl", ["", "2", "2 1", "3"], "lgpl"),
-    ("agpl", "(?:gnu )?affero general public", ["", "3"], "affero"), ("agpl", "(?:gnu )?agpl", ["", "3"], "agpl"),
-    ("gfdl", "(?:gnu )?free documentation", ["", "1 1", "1 2", "1 3"], "documentation"),
-    ("mpl", "mozilla public", ["", "1 0", "1 1", "2 0"], "mozilla"), ("epl", "eclipse public", ["", "1 0", "2 0"], "eclipse"),
-    ("cddl", "common development and distribution", ["", "1 0", "1 1"], "development"),
-    ("eupl", "european union public", ["", "1 0", "1 1", "1 2"], "european"), ("osl", "open software", ["", "1 0", "2 0", "3 0"], "software"),
-    ("artistic", "artistic", ["", "1 0", "2 0"], "artistic"), ("psf", "python software foundation", ["", "2"], "python"),
-    ("odbl", "open (?:data commons open )?database", ["", "1 0"], "database"), ("ofl", "(?:sil )?open font", ["", "1 0", "1 1"], "font"),
-    ("unlicense", "unlicense", [""], "unlicense"), ("wtfpl", "do what the fuck you want to public", ["", "2"], "fuck"),
-    ("cc-by", "(?:cc|creative commons) (?:by|attribution)", ["", "1 0", "2 0", "2 5", "3 0", "4 0"], None),
-    ("cc-by-sa", "(?:cc|creative commons) (?:by sa|attribution share ?alike)", ["", "1 0", "2 0", "2 5", "3 0", "4 0"], None),
-    ("cc-by-nd", "(?:cc|creative commons) (?:by nd|attribution no ?deriv(?:ative)?s)", ["", "1 0", "2 0", "2 5", "3 0", "4 0"], None),
-    ("cc-by-nc", "(?:cc|creative commons) (?:by nc|attribution non ?commercial)", ["", "1 0", "2 0", "2 5", "3 0", "4 0"], None),
-    ("cc-by-nc-sa", "(?:cc|creative commons) (?:by nc sa|attribution non ?commercial share ?alike)", ["", "2 0", "3 0", "4 0"], None),
-    ("cc-by-nc-nd", "(?:cc|creative commons) (?:by nc nd|attribution non ?commercial no ?deriv(?:ative)?s)", ["", "2 0", "3 0", "4 0"], None),
-    ("cc0", "(?:cc0|cc zero|creative commons zero)", ["", "1 0"], None),
-]
-CREATIVE = ("cc", "cc0", "creative")
-# form name, priority, what stands before the name, what stands after it; {n} is name and version
-FORMS = [
-    ("spdx", 90, "spdx license identifier {n}"),
-    ("grant", 80, "licen[cs]ed under (?:the )?(?:terms of )?(?:the )?{n}"),
-    ("release", 75, "(?:released|distributed|published|available|redistributed) under (?:the )?(?:terms of )?(?:the )?{n}"),
-    ("terms", 70, "under the terms (?:and conditions )?of the {n}"),
-    ("name", 40, "(?:the )?{l}"),
-]
-# Rules for single statements: label, priority, keyword, regex.
-STATEMENTS = [
-    ("reserved", 60, "reserved", "(?:all|some) rights (?:are )?reserved"), ("copyright", 30, "copyright", "copyright (?:c )?(?:19|20)[0-9]{2}"),
-    ("public-domain", 60, "domain", "(?:in|into|to) the public domain"), ("proprietary", 60, "proprietary", "proprietary and confidential"),
-    ("mit", 65, "hereby", "permission is hereby granted free of charge to any person obtaining a copy"),
-    ("bsd", 65, "redistribution", "redistribution and use in source and binary forms with or without modification"),
-    ("isc", 65, "permission", "permission to use copy modify and or distribute this software for any purpose"),
-]
-
-
 @dataclass(frozen=True)
 class Rule:
     label: str
@@ -86,22 +43,8 @@ def rules() -> tuple[Rule, ...]:
     """All rules, the highest priority first."""
     made = [Rule(label, 100, (min(phrase.split(), key=lambda w: (w in ("all", "by"), -len(w))),),
                  re.compile(f"(?<= ){phrase}(?= )".encode()), True) for phrase, label in BASE.items()]
-    for stem, name, versions, keyword in LICENSES:
-        for version in versions:
-            label = "-".join([stem, *([version.replace(" ", ".") if " clause" not in version else version.replace(" ", "-")] if version else [])])
-            tail = f"(?: licen[cs]e)?(?: (?:version|v)? ?{version})" if version else "(?: licen[cs]e)?"
-            if "clause" in version:
-                name_, tail = f"{version} {name}|{name} {version}", "(?: licen[cs]e)?"
-            else:
-                name_ = name
-            whole = f"(?:{name_}){tail}"
-            # a bare name is one only with a version or with the word license
-            alone = whole if version or stem.startswith("cc") else f"(?:{name_}) licen[cs]e"
-            for _, priority, form in FORMS:
-                body = form.format(n=whole, l=alone)
-                made.append(Rule(label, priority + bool(version), (keyword,) if keyword else CREATIVE,
-                                 re.compile(f"(?<= )(?:{body})(?= )".encode())))
-    made += [Rule(label, priority, (keyword,), re.compile(f"(?<= ){body}(?= )".encode())) for label, priority, keyword, body in STATEMENTS]
+    made += [Rule(label, priority, tuple(keywords.split()), re.compile(f"(?<= )(?:{pattern})(?= )".encode()))
+             for label, priority, keywords, pattern in RULES]
     return tuple(sorted(made, key=lambda r: (-r.base, -r.priority)))
 
 
@@ -151,8 +94,9 @@ def scan(docs: DataFrame) -> DataFrame:
 
     spans: the kept detections (label, start, end, priority) in words. score: the priority of
     the strongest detection over 100, base phrases included (their own priority is 50 there);
-    0 without any. Null and empty texts have no words and no labels; repeated rows and null ids
-    are judged each; other columns are not read.
+    0 without any. Of rules that tie on an interval the first label in the alphabet stays. Null and
+    empty texts have no words and no labels; very long ones are scanned whole, in one task each;
+    repeated rows and null ids are judged each; an empty table gives no rows; other columns are not read.
     """
     span = T.ArrayType(T.StructType().add("label", "string").add("start", "long").add("end", "long").add("priority", "integer"))
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType)]).add("n_words", "long").add("n_base", "long").add(

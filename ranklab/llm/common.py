@@ -38,9 +38,3 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], dict | Iterable[
                     schema=arrow)
 
     return df.mapInArrow(run, kind)
-
-
-def one_path(df: DataFrame, limit: int, column: str = "text") -> int:
-    """Measured bytes of a text column, and in how many blocks of at most about `limit` bytes it goes."""
-    total = df.agg(F.sum(F.octet_length(column)).alias("n")).first()["n"] or 0
-    return max(1, -(-int(total) // limit))

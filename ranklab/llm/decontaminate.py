@@ -7,24 +7,28 @@ indexed, which loses no match. Every suffix of every benchmark item is searched
 by bisection; the range it finds holds all places of its first window, and the
 neighbours give the longest match. Nothing is shuffled.
 
-The benchmark travels to the tasks in blocks of a bounded size; a larger
-benchmark makes more passes, not larger tasks.
+Equal benchmark texts are one text with several item ids. The benchmark travels to the
+tasks in blocks cut by measured bytes; a larger benchmark makes more passes, each written
+before the next one starts, so that the driver and a task hold one block at a time (a single
+longer text, with its ids, is a block of its own).
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ranklab.llm.common import map_batches, one_path, take, words
+from ranklab.llm.common import map_batches, take, words
+from ranklab.session import keep
 
 WINDOW = 10
 SHARD_WORDS = 1 << 20          # words of the documents that are indexed together (one longer document is a shard)
-BLOCK_BYTES = 32 * 1024 * 1024   # benchmark text that goes to the tasks at once
+BLOCK_BYTES = 32 * 1024 * 1024   # benchmark text, with its ids, that goes to the tasks at once
+ID_BYTES = 16                    # what an item id is counted as
+SLICES = 16                      # a block is put together from about so many slices of measured size
 
 
 @dataclass
@@ -33,7 +37,7 @@ class TestBlock:
 
     vocabulary: dict[bytes, int]
     text: np.ndarray            # words of all items
-    items: list                 # item ids
+    items: list                 # of each text, its item ids, sorted
     start: np.ndarray           # of each searched suffix
     end: np.ndarray             # where its item ends
     item: np.ndarray            # which item
@@ -42,15 +46,16 @@ class TestBlock:
 
     @classmethod
     def build(cls, rows: list[tuple], window: int) -> "TestBlock":
+        """Of (text, its sorted item ids); texts go by their first id, so that a smaller number is a smaller id."""
         vocabulary: dict[bytes, int] = {}
         text, items, suffixes = [], [], []
-        for item_id, body in rows:
+        for body, ids in sorted(rows, key=lambda x: (_id_order(x[1][0]), x[0])):
             own = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words(body)]
             if not own:
                 continue
             base, need = len(text), min(window, len(own))
             suffixes += [(base + j, base + len(own), len(items), need, base) for j in range(len(own) - need + 1)]
-            items.append(item_id)
+            items.append(ids)
             text += [*own, 0]
         columns = np.array(suffixes or np.zeros((0, 5)), np.int64).T
         return cls(vocabulary, np.array(text, np.int64), items, *columns)
@@ -148,12 +153,12 @@ def _pass(block: TestBlock):
         for d in np.unique(doc):
             own = slice(bounds[d], bounds[d + 1])
             ends = place[own] + block.need[suffix[own]]
-            items = [block.items[i] for i in np.unique(block.item[suffix[own]])]
-            best = int(np.argmax(longest[own]))
-            s = suffix[own][best]
+            items = [x for i in np.unique(block.item[suffix[own]]) for x in block.items[i]]
+            first = np.lexsort((place[own], -longest[own]))[0]                # the longest, then the earliest
+            best = suffix[own][(longest[own] == longest[own][first]) & (place[own] == place[own][first])]
+            told = min(((_id_order(block.items[block.item[s]][0]), int(block.start[s] - block.first[s])) for s in best))
             out[d] = (_merge(zip(place[own].tolist(), ends.tolist())), items, {
-                "item_id": block.items[block.item[s]], "doc_word": int(place[own][best]),
-                "item_word": int(block.start[s] - block.first[s]), "n_words": int(longest[own][best])})
+                "item_id": told[0][1], "doc_word": int(place[own][first]), "item_word": told[1], "n_words": int(longest[own][first])})
         return out
 
     def work(batch: pa.RecordBatch) -> dict:
@@ -169,7 +174,7 @@ def _pass(block: TestBlock):
                 shard, size = [], 0
         found += report(shard)
         before = zip(columns["hits"].to_pylist(), columns["items"].to_pylist(), columns["longest"].to_pylist())
-        merged = [(_merge([(x["begin"], x["end"]) for x in h] + new[0]), i + new[1], _longer(best, new[2]))
+        merged = [(_merge([(x["begin"], x["end"]) for x in h] + new[0]), list(dict.fromkeys(i + new[1])), _longer(best, new[2]))
                   for (h, i, best), new in zip(before, found)]
         return columns | {"n_words": n_words, "hits": [[{"begin": b, "end": e} for b, e in h] for h, _, _ in merged],
                           "items": [i for _, i, _ in merged], "longest": [x for _, _, x in merged]}
@@ -187,20 +192,55 @@ def _merge(intervals) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
+def _id_order(item_id) -> tuple:
+    """Null ids first. Two ids of one table always compare."""
+    return (item_id is not None, item_id)
+
+
 def _longer(a: dict | None, b: dict | None) -> dict | None:
-    return b if a is None or b is not None and b["n_words"] > a["n_words"] else a
+    """The longer match; of equal ones the earlier in the document, then the smaller id, then the earlier in the item."""
+    def order(x: dict) -> tuple:
+        return -x["n_words"], x["doc_word"], _id_order(x["item_id"]), x["item_word"]
+
+    return min((x for x in (a, b) if x is not None), key=order, default=None)
+
+
+def _blocks(benchmark: DataFrame, block_bytes: int) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """(text, ids, slice): every text once, with its item ids; and ranges of slices of at most block_bytes each.
+
+    The ids of equal texts meet in one row, as they do in a result row that reports them all.
+    """
+    tests = take(benchmark, item_id="item_id", text="text").where(F.octet_length("text") > 0)
+    texts = keep(tests.groupBy("text").agg(F.collect_set(F.struct("item_id")).alias("ids")))
+    size = F.octet_length("text") + F.lit(ID_BYTES) * F.size("ids")
+    total = int(texts.agg(F.sum(size.cast("long")).alias("n")).first()["n"] or 0)
+    slices = 1 if total <= block_bytes else SLICES * -(-total // block_bytes)
+    cut = texts.withColumn("slice", F.pmod(F.xxhash64("text"), F.lit(slices)).cast("int"))
+    if slices == 1:
+        return cut, [(0, 0)] if total else []
+    ranges: list[list[int]] = []
+    held = 0
+    for at, n in sorted(map(tuple, cut.groupBy("slice").agg(F.sum(size.cast("long"))).collect())):
+        if ranges and held + n <= block_bytes:
+            ranges[-1][1], held = at, held + n
+        else:
+            ranges.append([at, at])
+            held = n
+    return cut, [tuple(x) for x in ranges]
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """All columns of `docs`' own doc_id, text, and: n_words, hits (intervals of hit words), items, longest.
 
     A window is `window` consecutive words of an item, or a whole shorter item. items holds
-    each item id with a window in the document, once per benchmark row; longest is the
-    longest match (item_id, doc_word, item_word, n_words) or null. Null texts have no words;
-    repeated rows are reported each; an item with a null id counts as an item of that id.
+    each item id with a window in the document once. longest is the longest verbatim match that
+    begins with a window (item_id, doc_word, item_word, n_words) or null; of equally long ones the earliest
+    in the document, then that of the smallest item id, then the earliest in the item. Null and empty texts
+    have no words; very long ones are a shard of their own, whole; repeated rows are reported each; repeated
+    items count once; an item with a null id counts as an item of that id. Without items, or with items
+    without words, nothing is hit; an empty table of documents gives no rows.
     """
     item_type = benchmark.schema["item_id"].dataType
-    tests = take(benchmark, item_id="item_id", text="text")
     rows = take(docs, doc_id="doc_id", text="text")
     match = T.StructType().add("item_id", item_type).add("doc_word", "long").add("item_word", "long").add("n_words", "long")
     schema = T.StructType(list(rows.schema.fields)).add("n_words", "long").add(
@@ -209,10 +249,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_b
     found = rows.select("*", F.lit(0).cast("long").alias("n_words"),
                         *[F.lit(v).cast(schema[n].dataType).alias(n) if v is None else F.array().cast(schema[n].dataType).alias(n)
                           for n, v in (("hits", ()), ("items", ()), ("longest", None))])
-    blocks = one_path(tests, block_bytes)
-    for b in range(blocks):
-        own = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()   # at most about block_bytes
-        found = map_batches(found, _pass(TestBlock.build([tuple(r) for r in own], window)), schema)
+    texts, ranges = _blocks(benchmark, block_bytes)
+    for nth, (low, high) in enumerate(ranges or [(0, -1)]):
+        own = [(r["text"], sorted((x["item_id"] for x in r["ids"]), key=_id_order))
+               for r in texts.where(F.col("slice").between(low, high)).toLocalIterator()]
+        found = map_batches(keep(found) if nth else found, _pass(TestBlock.build(own, window)), schema)
+        del own
     return found
 
 

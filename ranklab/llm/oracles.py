@@ -20,25 +20,36 @@ ORACLES: dict[str, str] = {
 
 
 def decontamination(columns: str) -> str:
-    """Hit words by counting every window of the lengths that items have (10 words, or a shorter whole item)."""
+    """Hit words by counting every window of the lengths that items have (10 words, or a shorter whole item).
+
+    The longest match is the longest run of windows that stand one after another in both texts.
+    """
     return f"""
         with d as (select doc_id, {_WORDS} as w from documents),
              b as (select item_id, {_WORDS} as w from benchmark),
-             i as (select item_id, least(10, len(w)) as k, unnest(range(1, len(w) - least(10, len(w)) + 2)) as pos, w from b where len(w) > 0),
-             windows as (select distinct item_id, k, array_to_string(list_slice(w, pos, pos + k - 1), ' ') as s from i),
+             i as (select item_id, md5(array_to_string(w, ' ')) as body, least(10, len(w)) as k, unnest(range(1, len(w) - least(10, len(w)) + 2)) as pos, w from b where len(w) > 0),
+             spots as (select distinct item_id, body, k, pos as spot, array_to_string(list_slice(w, pos, pos + k - 1), ' ') as s from i),
+             windows as (select distinct item_id, k, s from spots),
              places as (select doc_id, k, unnest(range(1, len(w) - k + 2)) as pos, w from d, (select distinct k from windows) where len(w) >= k),
-             found as (select doc_id, pos, p.k, item_id from (select doc_id, k, pos, array_to_string(list_slice(w, pos, pos + k - 1), ' ') as s from places) p
-                       join windows x on p.s = x.s and p.k = x.k),
+             texts as (select doc_id, k, pos, array_to_string(list_slice(w, pos, pos + k - 1), ' ') as s from places),
+             found as (select doc_id, pos, p.k, item_id, p.s from texts p join windows x on p.s = x.s and p.k = x.k),
+             pairs as (select doc_id, f.pos, f.k, f.item_id, body, spot,
+                              f.pos - row_number() over (partition by doc_id, f.item_id, body, f.pos - spot order by f.pos) as run
+                       from found f join spots x on f.s = x.s and f.k = x.k and f.item_id = x.item_id),
+             runs as (select doc_id, item_id, min(pos) - 1 as doc_word, min(spot) - 1 as item_word, count(*) + k - 1 as n
+                      from pairs group by doc_id, item_id, body, k, pos - spot, run),
+             best as (select doc_id, item_id as longest_item, doc_word as longest_doc_word, item_word as longest_item_word, n as longest_words
+                      from runs qualify row_number() over (partition by doc_id order by n desc, doc_word, item_id, item_word) = 1),
              hit as (select doc_id, count(distinct n) as n_hit from (select doc_id, unnest(range(pos, pos + k)) as n from found) group by doc_id),
              items as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as ids
                        from (select distinct doc_id, item_id::varchar as item from found) group by doc_id)
-        select {columns} from d left join hit using (doc_id) left join items using (doc_id)"""
+        select {columns} from d left join hit using (doc_id) left join items using (doc_id) left join best using (doc_id)"""
 
 
-# The query's further columns tell the longest match, which SQL has no short way to find: see the tests.
 ORACLES["op6_benchmark_decontamination"] = decontamination(
     "doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, "
-    "sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated")
+    "sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated, "
+    "longest_item, longest_doc_word, longest_item_word, longest_words")
 
 
 # crc32 of a decimal number's text, byte by byte from the table of its polynomial

@@ -5,7 +5,9 @@ blanks, runs of letters shortened), words, and signs of repetition. Term weights
 a truncated singular value decomposition come from a bounded sample of labelled
 documents; their unit vectors, a few MB at most, go to every task. Each document is compared
 with all of them, by exact cosines in blocks, and its score is the share of label 1 among the
-nearest, weighted by similarity. The documents never move.
+nearest, weighted by similarity. Cosines are compared to nine digits, and of equal ones the earlier
+training row is nearer, so that a score depends neither on the block nor on the partition.
+The documents never move.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ RANK = 48             # latent dimensions
 NEIGHBOURS = 25
 SHARPNESS = 4         # a neighbour's weight is its similarity to this power
 BLOCK = 512           # documents compared at once
+UNITS = 10 ** 9       # a cosine counts in units of 1e-9
 SPAN = 200            # tokens among which repeated ones are counted
 GOOD = 0.7
 
@@ -78,7 +81,7 @@ class Model:
     prior: float            # share of label 1, the score of a text without terms
 
     def project(self, x: np.ndarray) -> np.ndarray:
-        z = (x * self.weight) @ self.base
+        z = (x * self.weight).astype(float) @ self.base
         return z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
 
     def score(self, x: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
@@ -87,12 +90,13 @@ class Model:
         if not len(self.labels) or not there.any():
             return out
         near = self.project(x[there]) @ self.vectors.T
-        k = min(neighbours, near.shape[1])
-        top = np.argpartition(-near, k - 1, axis=1)[:, :k]
-        vote = np.maximum(np.take_along_axis(near, top, 1), 0).astype(float) ** SHARPNESS
+        rows, k = near.shape[1], min(neighbours, near.shape[1])
+        far = np.rint((1 - near) * UNITS).astype(np.int64) * rows + np.arange(rows)     # no two are equal
+        top = np.sort(np.partition(far, k - 1, axis=1)[:, :k], axis=1)
+        vote = np.maximum(1 - (top // rows) / UNITS, 0) ** SHARPNESS
         total = vote.sum(1)
-        out[there] = np.where(total > 0, (vote * self.labels[top]).sum(1) / np.maximum(total, 1e-300), self.prior)
-        return np.clip(out, 0, 1)
+        out[there] = np.where(total > 0, (vote * self.labels[top % rows]).sum(1) / np.maximum(total, 1e-300), self.prior)
+        return np.clip(np.round(out, 9), 0, 1)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, rank: int = RANK) -> Model:
@@ -109,7 +113,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, rank: int =
     values, vectors = np.linalg.eigh(weighted.T @ weighted)        # of TERMS x TERMS
     base = vectors[:, np.argsort(values)[::-1][:rank]]
     base = base * np.where(base[np.abs(base).argmax(0), np.arange(base.shape[1])] < 0, -1, 1)   # one sign
-    model = Model(weight, base.astype(np.float32), np.zeros((0, rank), np.float32), y, float(y.mean()) if len(y) else 0.5)
+    model = Model(weight, base, np.zeros((0, rank)), y, float(y.mean()) if len(y) else 0.5)
     if len(y):
         model.vectors = model.project(x)
     return model
@@ -119,7 +123,8 @@ def score(docs: DataFrame, model: Model, good: float = GOOD) -> DataFrame:
     """`docs`, all columns, and held_out, score, predicted (1 from `good` on).
 
     Null and empty texts, and texts of blanks alone, have the share of label 1 in the sample as score.
-    Repeated rows and null ids (never held out) are scored each; the named columns are replaced.
+    Very long texts are read whole. Of equally near training rows the earlier one votes. Repeated rows and
+    null ids (never held out) are scored each; an empty table gives no rows; the named columns are replaced.
     """
     kept = [c for c in docs.columns if c not in ("held_out", "score", "predicted")]
     rest = F.struct(F.lit(0).alias("_"), *[docs[c].alias(f"c{i}") for i, c in enumerate(kept) if c != "text"])

@@ -125,3 +125,33 @@ def test_template_inside_articles_decides(spark):
     want = {(host, h) for (host, h), own in counts.items() if len(own) >= 5 and len(own) >= 0.3 * len(n[host])}
     got = {(r["host"], bytes(h)) for r in html_text.site_templates(df).collect() for h in r["template"]}
     assert got == want and want
+
+
+def test_neighbour_votes_against_plain_loops():
+    """The 25 largest cosines by a sort, ties by training row; the same scores in blocks of any size."""
+    import math
+
+    import numpy as np
+    from ranklab.llm import quality_knn as knn
+
+    rng = np.random.default_rng(3)
+    x = rng.poisson(0.3, (400, knn.TERMS)).astype(np.float32)
+    x[200:] = x[:200]                                            # every vector twice, with other labels
+    x[7] = 0
+    base = np.linalg.qr(rng.normal(size=(knn.TERMS, knn.RANK)))[0]
+    model = knn.Model(rng.random(knn.TERMS).astype(np.float32), base, np.zeros((0, knn.RANK)), rng.integers(0, 2, 400).astype(float), 0.4)
+    model.vectors = model.project(x)
+    asked = np.concatenate([x[:40], rng.poisson(0.3, (20, knn.TERMS)).astype(np.float32)])
+    scores = model.score(asked)
+    for q, score in zip(asked, scores):
+        if not q.any():
+            assert score == 0.4
+            continue
+        z = [sum(a) for a in zip(*(float(v) * float(w) * row for v, w, row in zip(q, model.weight, base) if v))]
+        z = [v / math.sqrt(sum(a * a for a in z)) for v in z]
+        near = [round(sum(a * b for a, b in zip(z, row)), 9) for row in model.vectors]
+        top = sorted(range(400), key=lambda i: (-near[i], i))[:25]
+        votes = [max(near[i], 0) ** 4 for i in top]
+        assert abs(score - sum(v * model.labels[i] for v, i in zip(votes, top)) / sum(votes)) < 1e-6
+    for size in (1, 7, 60):
+        assert (np.concatenate([model.score(asked[at: at + size]) for at in range(0, 60, size)]) == scores).all()

@@ -37,9 +37,10 @@ def read_records(spark: SparkSession, path: str, skip_unreadable: bool = False,
     """(path, doc_id, contents) of every file below a folder, or of one file.
 
     Files are read line by line, so that any line end and blanks around the `/` may stand in one
-    file and a large file is still split. Lines are numbered inside their split by the `/` lines before
-    them; the counts of earlier splits of the file are added, so that a record which crosses splits
-    has one number in all of them. The lines move twice: by split, then by record.
+    file and a large file is still split. The lines move once, by split, and are numbered there by the
+    `/` lines before them; a record that begins and ends in a split is whole. Of the others, the first and the
+    last piece of each split, the counts of earlier splits of the file make one number of the record, by
+    which these pieces move once more.
 
     With `line_end`, all records are known to end with exactly `line_end`, `/`, `line_end`: that is then
     the reader's separator, and nothing moves. Empty files have no records; a last record needs no `/`
@@ -56,11 +57,15 @@ def read_records(spark: SparkSession, path: str, skip_unreadable: bool = False,
     counts = lines.groupBy("path", "split").agg(n_ends.alias("n")).select(
         "path", "split", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     above = Window.partitionBy("path", "split").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = (lines.withColumn("at", F.monotonically_increasing_id())
-                .withColumn("here", F.coalesce(n_ends.over(above), F.lit(0))).join(counts, ["path", "split"])
-                .where("not ends").groupBy("path", (F.col("before") + F.col("here")).alias("record"))
-                .agg(F.array_sort(F.collect_list(F.struct("split", "at", "value"))).alias("told")))
-    return _record_of(numbered.select("path", F.col("told.value").alias("lines")), ["path"])
+    pieces = (lines.withColumn("at", F.monotonically_increasing_id())
+              .withColumn("here", F.coalesce(n_ends.over(above), F.lit(0))).groupBy("path", "split", "here")
+              .agg(F.array_sort(F.collect_list(F.when(~F.col("ends"), F.struct("at", "value")))).alias("told"), F.max("ends").alias("ended"))
+              .select("path", "split", "here", F.col("told.value").alias("lines"), ((F.col("here") > 0) & F.col("ended")).alias("whole")))
+    parts = (pieces.where("not whole").join(counts, ["path", "split"])
+             .groupBy("path", (F.col("before") + F.col("here")).alias("record"))
+             .agg(F.array_sort(F.collect_list(F.struct("split", "lines"))).alias("told")))
+    return _record_of(pieces.where("whole").select("path", "lines").unionByName(
+        parts.select("path", F.flatten(F.col("told.lines")).alias("lines"))), ["path"])
 
 
 def record_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

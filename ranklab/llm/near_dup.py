@@ -15,11 +15,12 @@ Hot groups never become pairs of all with all:
   leaves the bucket as a component. The first hash functions go first, so that most members of
   a large group are known to belong together before the others are looked at;
 * of a small bucket (at most SMALL_BUCKET nodes) all pairs of different components are compared;
-* what is left in a larger bucket is divided anew, by a longer tuple of the same hash function
-  (its 6, then its 12 smallest shingles), and goes on in the same way. A node stays one row for each
-  hash function, so that it has a bounded number of comparisons, whatever the size of its
-  group. What two nodes lose by it: a pair that shares only buckets which are still large after the
-  last division, and in which neither is the hub, is not compared.
+* of a larger bucket all pairs of different components are looked at, too, in tiles of TILE nodes: the
+  words of each node are counted in 64 bins, and two texts whose bins differ by more words than the
+  similarity leaves over cannot be similar. Only pairs that this bound leaves open are aligned. Members of the
+  hub's component are never paired with one another, nor texts whose lengths are too different.
+
+So every pair that shares a bucket is compared, or known to be in one class, or told apart by a bound.
 
 Joins go over the node's 128-bit hash; a hub's join key is split by Spark's skew join. All
 tables that are used twice are written to the shared folder.
@@ -40,17 +41,19 @@ from ranklab.session import broadcast_if, keep
 
 SHINGLE = 3          # words in a shingle of the sketch
 SIMILAR = 0.8
-TUPLES = (3, 6, 12)  # shingles in one hash value of a sketch, and in those that divide large buckets
+TUPLE = 3            # shingles in one hash value of a sketch
 MISS = 1e-2          # chance that two documents at the limit share no bucket
 LEADING = 3          # hash functions that are looked at first
-SMALL_BUCKET = 12    # buckets up to this size compare all members of different components
+SMALL_BUCKET = 12    # buckets up to this size align all members of different components
+TILE = 1024          # nodes of a larger bucket, about, that one group compares with as many others by their bins
+BINS = 64
 BROADCAST_BYTES = 8 << 20
 HELD_WORDS = 2_000_000      # of documents that a task keeps ready while it compares, about
 
 _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-def bands(similar: float = SIMILAR, size: int = TUPLES[0], miss: float = MISS) -> int:
+def bands(similar: float = SIMILAR, size: int = TUPLE, miss: float = MISS) -> int:
     """How many hash functions make a miss as unlikely as `miss`, for changed words all over the text."""
     same = (2 * similar / (1 + similar)) ** SHINGLE          # share of a text's shingles that hold no changed word
     return math.ceil(math.log(miss) / math.log(1 - (same / (2 - same)) ** size))
@@ -80,24 +83,17 @@ def labelled_shingles(codes: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketch(shingles: np.ndarray, count: int, sizes: tuple[int, ...] = TUPLES) -> np.ndarray:
-    """For each size one number for each hash function: the `size` smallest labelled shingles in text order."""
+def sketch(shingles: np.ndarray, count: int, size: int = TUPLE) -> np.ndarray:
+    """One number for each hash function: the `size` smallest labelled shingles in text order."""
     seeds = _mix(np.arange(1, count + 1, dtype=np.uint64) * _MIX[0])
     hashes = _mix(shingles[None, :] ^ seeds[:, None])
-    most = min(max(sizes), len(shingles))
-    if most < len(shingles):
-        first = np.argpartition(hashes, most - 1, axis=1)[:, :most]
-        first = np.take_along_axis(first, np.argsort(np.take_along_axis(hashes, first, 1), axis=1), 1)
+    if size < len(shingles):
+        own = np.sort(np.argpartition(hashes, size - 1, axis=1)[:, :size], axis=1)
     else:
-        first = np.argsort(hashes, axis=1)
-    out = np.empty((len(sizes), count), np.uint64)
-    for n, size in enumerate(sizes):
-        own = np.sort(first[:, :size], axis=1)
-        value = seeds.copy()
-        for j in range(own.shape[1]):
-            value = _mix(value * _MIX[0] + shingles[own[:, j]])
-        out[n] = value
-    return out.view(np.int64)
+        own = np.broadcast_to(np.arange(len(shingles)), hashes.shape)
+    for j in range(own.shape[1]):
+        seeds = _mix(seeds * _MIX[0] + shingles[own[:, j]])
+    return seeds.view(np.int64)
 
 
 class Shape:
@@ -170,9 +166,9 @@ def _pointer(doc_id: Column, text: Column) -> list[Column]:
 
 
 def sketched(docs: DataFrame, count: int) -> DataFrame:
-    """(doc_id, p1, p2, node, size, keys): keys by tuple, then by hash function. node: 128-bit hash of the words, of the text itself where it has none."""
+    """(doc_id, p1, p2, node, size, keys): a key for each hash function. node: 128-bit hash of the words, of the text itself where it has none."""
     rows = docs.select(docs["doc_id"].alias("doc_id"), *_pointer(docs["doc_id"], docs["text"]), docs["text"].alias("text"))
-    schema = T.StructType(list(rows.schema.fields)[:3]).add("node", "binary").add("size", "long").add("keys", T.ArrayType(T.ArrayType(T.LongType())))
+    schema = T.StructType(list(rows.schema.fields)[:3]).add("node", "binary").add("size", "long").add("keys", T.ArrayType(T.LongType()))
 
     def work(batch: pa.RecordBatch) -> dict:
         nodes, sizes, keys = [], [], []
@@ -180,7 +176,7 @@ def sketched(docs: DataFrame, count: int) -> DataFrame:
             own = words(text)
             nodes.append(hashlib.blake2b(b" ".join(own) if own else b"\n" + (text or "").encode(), digest_size=16).digest())
             sizes.append(len(own))
-            keys.append(sketch(labelled_shingles(_codes(own)), count).tolist() if own else [[] for _ in TUPLES])
+            keys.append(sketch(labelled_shingles(_codes(own)), count).tolist() if own else [])
         return {"doc_id": batch.column(0), "p1": batch.column(1), "p2": batch.column(2), "node": nodes, "size": sizes, "keys": keys}
 
     return map_batches(rows, work, schema)
@@ -189,7 +185,7 @@ def sketched(docs: DataFrame, count: int) -> DataFrame:
 def _similar(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
     """The pairs (hub, node) that are similar. `texts`: node, codes. A task meets the pairs of one hub one after the other."""
     hub = texts.select(F.col("node").alias("hub"), F.col("codes").alias("codes_hub"))
-    both = pairs.join(texts, "node").join(hub, "hub").select("hub", "node", "codes_hub", "codes")
+    both = pairs.join(texts.select("node", "codes"), "node").join(hub, "hub").select("hub", "node", "codes_hub", "codes")
     schema = T.StructType(list(both.schema.fields)[:2])
 
     def work(batch: pa.RecordBatch) -> dict:
@@ -240,24 +236,17 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     nodes = keep(rows.groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("nulls"), "doc_id", "p1", "p2")).alias("first"),
         F.first("size").alias("size"), F.first("keys").alias("keys")))
-    members = nodes.select("node", "size", F.posexplode(F.col("keys")[0]).alias("band", "bucket"))
+    members = nodes.select("node", "size", F.posexplode("keys").alias("band", "bucket"))
     met = keep(_buckets(members))                            # only nodes that share a bucket with another go on
     texts = _texts(docs, nodes, met)
     found = keep(met.select("node", F.col("node").alias("component")).limit(0))
     for some in (met.where(F.col("band") < LEADING), met.where(F.col("band") >= LEADING)):
         found = _joined(found, _links(_apart(_stars(some, similar), found), texts, similar))
-    for longer in range(1, len(TUPLES) + 1):
-        left = keep(_left(met, found))
-        small = left.where(F.col("n") <= SMALL_BUCKET)
-        found = _joined(found, _links(_apart(_all_pairs(small, similar), found), texts, similar))
-        rest = left.where((F.col("n") > SMALL_BUCKET) & (F.col("component") != F.col("hub_component")))
-        if longer == len(TUPLES) or rest.isEmpty():
-            break
-        keys = nodes.select("node", F.col("keys")[longer].alias("keys"))
-        divided = rest.select("node", "size", "band", "bucket").join(keys, "node").select(
-            "node", "size", "band", F.xxhash64("bucket", F.col("keys")[F.col("band")]).alias("bucket"))
-        met = keep(_buckets(divided))
-        found = _joined(found, _links(_apart(_stars(met, similar), found), texts, similar))
+    small = _left(met, found).where(F.col("n") <= SMALL_BUCKET)
+    found = _joined(found, _links(_apart(_all_pairs(small, similar), found), texts, similar))
+    large = keep(_left(met.where(F.col("n") > SMALL_BUCKET), found))
+    if not large.isEmpty():
+        found = _joined(found, _links(_tiled_pairs(large, texts, similar), texts, similar))
     return _told(rows, nodes, found)
 
 
@@ -310,6 +299,59 @@ def _all_pairs(small: DataFrame, similar: float) -> DataFrame:
     return pairs.select(F.col("other").alias("hub"), "node").distinct()
 
 
+def _tiled_pairs(large: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
+    """(hub, node): pairs of different components of one bucket that the numbers of their words do not tell apart.
+
+    A bucket of more than TILE nodes is cut into cells: the hub's component apart, by length, then by hash. Two
+    cells are compared where they can hold similar texts of different components; a group is two cells.
+    """
+    step = max(1.001 * math.log(1 / similar), 1e-6)     # lengths of similar texts are in one class or in neighbouring ones
+    whole = F.col("n") <= TILE
+    cut = large.select("bucket", "node", "component", whole.alias("whole"),
+                       (~whole & (F.col("component") == F.col("hub_component"))).alias("inside"),
+                       F.when(whole, 0).otherwise(F.floor(F.log("size") / step)).cast("int").alias("length"))
+    parts = cut.groupBy("bucket", "inside", "length", "whole").agg(F.count("*").alias("in_cell")).select(
+        "bucket", "inside", "length", F.when(F.col("whole"), 1).otherwise(F.ceil(F.col("in_cell") / TILE)).cast("int").alias("chunks"))
+    cells = parts.select("bucket", "inside", "length", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    cell = F.struct("inside", "length", "chunk")
+    one, two = cells.select("bucket", cell.alias("a")), cells.select("bucket", cell.alias("b"))
+    tiles = one.join(two, "bucket").where((F.col("a") <= F.col("b")) & (F.abs(F.col("a.length") - F.col("b.length")) <= 1)
+                                          & ~(F.col("a.inside") & F.col("b.inside")))
+    tile = F.struct("a", "b").alias("tile")
+    sides = tiles.select("bucket", "a.*", tile, F.lit(0).alias("side")).unionByName(
+        tiles.where("a != b").select("bucket", "b.*", tile, F.lit(1).alias("side")))
+    rows = cut.join(parts, ["bucket", "inside", "length"]).withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
+    rows = rows.join(texts.select("node", "bins"), "node").join(sides, ["bucket", "inside", "length", "chunk"]).select(
+        "bucket", "tile", "side", "node", "component", "bins")
+
+    def work(group: pa.Table) -> pa.Table:
+        nodes = group["node"].to_pylist()
+        numbers: dict[bytes, int] = {}
+        inside = np.fromiter((numbers.setdefault(c, len(numbers)) for c in group["component"].to_pylist()), np.int64, len(nodes))
+        bins = np.frombuffer(b"".join(group["bins"].to_pylist()), np.uint16).astype(np.int32).reshape(len(nodes), BINS + 2)
+        sizes = bins[:, BINS] + (bins[:, BINS + 1].astype(np.int64) << 16)
+        side = group["side"].to_numpy()
+        second = np.flatnonzero(side == 1) if (side == 1).any() else None
+        found: set[tuple[bytes, bytes]] = set()
+        first = np.flatnonzero(side == 0)
+        for n, i in enumerate(first):
+            others = first[n + 1:] if second is None else second
+            total = sizes[i] + sizes[others]
+            least = np.ceil(similar * total / (1 + similar) - 1e-9)
+            others, far = others[near := (np.minimum(sizes[i], sizes[others]) >= least) & (inside[others] != inside[i])], (total - 2 * least)[near]
+            apart = np.abs(bins[others, :BINS] - bins[i, :BINS]).sum(axis=1)
+            found.update((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for j in others[apart <= far])
+        return pa.table({"hub": pa.array([a for a, _ in found], pa.binary()), "node": pa.array([b for _, b in found], pa.binary())})
+
+    return rows.groupBy("bucket", "tile").applyInArrow(work, "hub binary, node binary").distinct()
+
+
+def _bins(codes: np.ndarray) -> bytes:
+    """The number of words in each of BINS bins, up to 65535, and of all, in two halves."""
+    counts = np.bincount(codes % BINS, minlength=BINS)
+    return np.r_[np.minimum(counts, 65535), len(codes) & 65535, len(codes) >> 16].astype(np.uint16).tobytes()
+
+
 def _joined(found: DataFrame, fresh: DataFrame) -> DataFrame:
     """Components (node, component) after more links (a, b), from the graph of the components that these connect."""
     if fresh.isEmpty():
@@ -323,15 +365,16 @@ def _joined(found: DataFrame, fresh: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, nodes: DataFrame, met: DataFrame) -> DataFrame:
-    """(node, codes): the words' numbers of each node that shares a bucket, from the row that stands for it."""
+    """(node, codes, bins): the words' numbers of each node that shares a bucket, from the row that stands for it."""
     wanted = keep(met.select("node").distinct().join(nodes.select("node", "first.p1", "first.p2"), "node"))
     rows = docs.select(*_pointer(docs["doc_id"], docs["text"]), docs["text"].alias("text"))
     rows = rows.join(broadcast_if(wanted, 64 * wanted.count(), BROADCAST_BYTES), ["p1", "p2"]).select("node", "text")
 
     def work(batch: pa.RecordBatch) -> dict:
-        return {"node": batch.column(0), "codes": [_codes(words(t)).tobytes() for t in batch.column(1).to_pylist()]}
+        codes = [_codes(words(t)) for t in batch.column(1).to_pylist()]
+        return {"node": batch.column(0), "codes": [c.tobytes() for c in codes], "bins": [_bins(c) for c in codes]}
 
-    return keep(map_batches(rows, work, "node binary, codes binary").dropDuplicates(["node"]))
+    return keep(map_batches(rows, work, "node binary, codes binary, bins binary").dropDuplicates(["node"]))
 
 
 def _told(rows: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:

@@ -266,6 +266,33 @@ def test_buckets_without_similar_members(spark, monkeypatch):
     assert out == near_classes(texts) and len(set(out.values())) == 150
 
 
+@pytest.mark.parametrize("small, tile", [(1, 8), (12, 1024)])
+def test_every_pair_that_shares_a_bucket_is_compared(spark, monkeypatch, small, tile):
+    """Copies at the limit, most of whose text is a passage that all share: none that meet in a large bucket is lost."""
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randrange(4000)}"
+    passage = [word() for _ in range(100)]
+    texts = {}
+    for i in range(150):
+        own = passage + [word() for _ in range(28)]
+        for n in range(2):
+            changed = list(own)
+            for at in rng.sample(range(len(own)), 7):
+                changed[at] = word()
+            texts[10 * i + n] = " ".join(changed)
+    monkeypatch.setattr(near_dup, "SMALL_BUCKET", small)
+    monkeypatch.setattr(near_dup, "TILE", tile, raising=False)
+    shapes = {i: near_dup.Shape(near_dup._codes(words(t))) for i, t in texts.items()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    keys = {r["doc_id"]: np.ravel(r["keys"][0] if isinstance(r["keys"][0], list) else r["keys"])
+            for r in near_dup.sketched(docs, near_dup.bands()).collect()}
+    meet = [(i, j) for i, j in itertools.combinations(texts, 2)
+            if (keys[i] == keys[j]).any() and near_dup.similarity(shapes[i], shapes[j])]
+    out = {r["doc_id"]: r["class_id"] for r in near_dup.classes(docs).collect()}
+    want = components(meet, texts)
+    assert len(meet) > 60 and out == want
+
+
 def test_alignment_is_the_longest_common_subsequence():
     rng = random.Random(4)
     for _ in range(600):

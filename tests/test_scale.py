@@ -170,6 +170,32 @@ def test_no_shuffle_before_the_local_top_k(spark, frames):
     assert "Exchange" not in local and "Bucketed: true" in plan
 
 
+def test_a_bucket_holds_what_a_task_can_score(spark):
+    """Buckets grow in number with the text and with the documents, not in size."""
+    for n_bytes, n_docs in ((6 << 30, 2_400_000), (60 << 30, 24_000_000), (1 << 30, 50_000_000)):
+        buckets = store.bucket_count(spark, n_bytes, n_docs)
+        assert n_bytes / buckets <= 32 << 20 and n_docs / buckets <= 16384
+    assert store.bucket_count(spark, 0, 0) == spark.sparkContext.defaultParallelism
+
+
+def test_many_short_documents_have_many_buckets(spark, monkeypatch):
+    path = shared_folder(spark)
+    monkeypatch.setattr(store, "BUCKET_DOCS", 20, raising=False)
+    store.create_index(spark.createDataFrame([(i, f"w{i % 7} the") for i in range(400)], "doc_id bigint, contents string"), path)
+    assert spark.read.parquet(f"{path}/layout").first()["buckets"] == 20
+    assert store.open_index(spark, path).documents.count() == 400
+
+
+def test_stored_matches_are_counted_without_a_sort(spark, frames):
+    docs, topics = frames
+    path = shared_folder(spark)
+    store.create_index(docs, path, buckets=4)
+    index, terms = store.open_index(spark, path), sc.measure_terms(topics)
+    counts = sc.count_by_bitmaps(index, terms, 2)
+    assert "SortAggregate" not in counts._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, sc.count_by_bitmaps(ix.build_index(docs), terms, 2).collect()))
+
+
 def test_several_models_from_one_scan(spark, frames):
     docs, topics = frames
     path = shared_folder(spark)

@@ -26,6 +26,7 @@ BLOCK_ROWS = 128                    # row ids in a block
 FILE_BYTES = 256 * 1024 * 1024      # of postings in a folder, about
 MOST_FOLDERS = 4096
 POSTING_BYTES = 12                  # of a posting in a file, about
+SORT_BYTES = 16 * 1024 * 1024       # of postings in a file that one task sorts; in memory about eight times that
 SEED_BLOCKS = 2                     # blocks per topic whose exact scores give the first bound
 
 _POSTINGS = "term STRING, row_id BIGINT, tf INT, dl INT, block BIGINT, part INT"
@@ -66,7 +67,7 @@ def write_layout(index: Index, path: str, folders: int | None = None, block_rows
     size = words * POSTING_BYTES                             # at most one posting a word
     cores = spark.sparkContext.defaultParallelism
     folders = folders or min(MOST_FOLDERS, max(2 * cores, -(-size // FILE_BYTES)))
-    tasks = max(cores, -(-size // FILE_BYTES))
+    tasks = max(cores, -(-size // SORT_BYTES))
     block = F.floor(F.col("row_id") / block_rows).cast("bigint")
     rows = index.postings.select("term", "row_id", "tf", "dl", block.alias("block"), part_of(folders))
     _sorted(rows, tasks, "part", "term", "block").write.partitionBy("part").mode("overwrite").parquet(f"{path}/postings")

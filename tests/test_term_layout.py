@@ -80,3 +80,17 @@ def test_no_pair_leaves_a_task(spark, sf):
     plan = REGISTRY["count_matches"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     exchanged = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
     assert exchanged and not any("row_id" in line for line in exchanged)
+
+
+def test_a_task_sorts_a_bounded_share_of_the_postings(spark, parts, monkeypatch):
+    """Postings are cut into as many sorted ranges as their bytes ask for, and none is lost."""
+    monkeypatch.setattr(tl, "SORT_BYTES", 2048, raising=False)
+    index, layout, _ = parts
+    path = shared_folder(spark)
+    asked = []
+    whole = tl._sorted
+    monkeypatch.setattr(tl, "_sorted", lambda rows, tasks, *by: asked.append(tasks) or whole(rows, tasks, *by))
+    tl.write_layout(index, path, folders=4, block_rows=16)
+    n = index.coll_stats.agg(F.sum("n_tokens")).first()[0]
+    assert min(asked) >= n * tl.POSTING_BYTES / 2048 > spark.sparkContext.defaultParallelism
+    assert tl.open_layout(spark, path, index).postings.count() == layout.postings.count()

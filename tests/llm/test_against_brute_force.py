@@ -291,6 +291,11 @@ def test_every_pair_that_shares_a_bucket_is_compared(spark, monkeypatch, small,
     out = {r["doc_id"]: r["class_id"] for r in near_dup.classes(docs).collect()}
     want = components(meet, texts)
     assert len(meet) > 60 and out == want
+    if tile == 8:
+        import corpus_pipeline
+
+        kept = corpus_pipeline.minhash_near_dedup(spark, docs, "")       # the pipeline's stage keeps one of each class
+        assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want.values()))
 
 
 def test_alignment_is_the_longest_common_subsequence():

@@ -16,9 +16,10 @@ Hot groups never become pairs of all with all:
   a large group are known to belong together before the others are looked at;
 * of a small bucket (at most SMALL_BUCKET nodes) all pairs of different components are compared;
 * of a larger bucket all pairs of different components are looked at, too, in tiles of TILE nodes: the
-  words of each node are counted in 64 bins, and two texts whose bins differ by more words than the
-  similarity leaves over cannot be similar. Only pairs that this bound leaves open are aligned. Members of the
-  hub's component are never paired with one another, nor texts whose lengths are too different.
+  words of each node are counted in 64, then 1024 bins, and two texts whose bins differ by more words than the
+  similarity leaves over cannot be similar. Pairs that this bound leaves open are aligned in the tile, unless links
+  found there connect them already; only links leave it. Members of the hub's component are never paired with one
+  another, nor texts whose lengths are too different.
 
 So every pair that shares a bucket is compared, or known to be in one class, or told apart by a bound.
 
@@ -45,8 +46,8 @@ TUPLE = 3            # shingles in one hash value of a sketch
 MISS = 1e-2          # chance that two documents at the limit share no bucket
 LEADING = 3          # hash functions that are looked at first
 SMALL_BUCKET = 12    # buckets up to this size align all members of different components
-TILE = 1024          # nodes of a larger bucket, about, that one group compares with as many others by their bins
-BINS = 64
+TILE = 1024          # nodes of a larger bucket, about, that one group compares with as many others
+BINS, COARSE = 1024, 64     # numbers of words are counted in COARSE bins first, then in BINS
 BROADCAST_BYTES = 8 << 20
 HELD_WORDS = 2_000_000      # of documents that a task keeps ready while it compares, about
 
@@ -246,7 +247,7 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     found = _joined(found, _links(_apart(_all_pairs(small, similar), found), texts, similar))
     large = keep(_left(met.where(F.col("n") > SMALL_BUCKET), found))
     if not large.isEmpty():
-        found = _joined(found, _links(_tiled_pairs(large, texts, similar), texts, similar))
+        found = _joined(found, _tiled_links(large, texts, similar))
     return _told(rows, nodes, found)
 
 
@@ -299,15 +300,17 @@ def _all_pairs(small: DataFrame, similar: float) -> DataFrame:
     return pairs.select(F.col("other").alias("hub"), "node").distinct()
 
 
-def _tiled_pairs(large: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
-    """(hub, node): pairs of different components of one bucket that the numbers of their words do not tell apart.
+def _tiled_links(large: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
+    """(a, b): links between similar texts of one bucket, as many as connect what the bucket's pairs connect.
 
     A bucket of more than TILE nodes is cut into cells: the hub's component apart, by length, then by hash. Two
-    cells are compared where they can hold similar texts of different components; a group is two cells.
+    cells are compared where they can hold similar texts of different components; a group is two cells. A pair is
+    looked at in the first of the buckets it shares only, aligned where the numbers of its words leave it open, and
+    passed over once links of its group connect it. So a group gives fewer links than it has nodes.
     """
     step = max(1.001 * math.log(1 / similar), 1e-6)     # lengths of similar texts are in one class or in neighbouring ones
     whole = F.col("n") <= TILE
-    cut = large.select("bucket", "node", "component", whole.alias("whole"),
+    cut = large.select("bucket", "band", "node", "component", whole.alias("whole"),
                        (~whole & (F.col("component") == F.col("hub_component"))).alias("inside"),
                        F.when(whole, 0).otherwise(F.floor(F.log("size") / step)).cast("int").alias("length"))
     parts = cut.groupBy("bucket", "inside", "length", "whole").agg(F.count("*").alias("in_cell")).select(
@@ -320,36 +323,61 @@ def _tiled_pairs(large: DataFrame, texts: DataFrame, similar: float) -> DataFram
     tile = F.struct("a", "b").alias("tile")
     sides = tiles.select("bucket", "a.*", tile, F.lit(0).alias("side")).unionByName(
         tiles.where("a != b").select("bucket", "b.*", tile, F.lit(1).alias("side")))
+    own = texts.join(large.groupBy("node").agg(F.collect_list(F.struct("band", "bucket")).alias("places")), "node").select(
+        "node", "codes", F.col("places.band").alias("bands"), F.col("places.bucket").alias("buckets"))
     rows = cut.join(parts, ["bucket", "inside", "length"]).withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
-    rows = rows.join(texts.select("node", "bins"), "node").join(sides, ["bucket", "inside", "length", "chunk"]).select(
-        "bucket", "tile", "side", "node", "component", "bins")
+    rows = rows.join(own, "node").join(sides, ["bucket", "inside", "length", "chunk"]).select(
+        "bucket", "band", "tile", "side", "node", "component", "codes", "bands", "buckets")
+    count = bands(similar)
 
     def work(group: pa.Table) -> pa.Table:
-        nodes = group["node"].to_pylist()
+        nodes, band = group["node"].to_pylist(), group["band"][0].as_py()
         numbers: dict[bytes, int] = {}
         inside = np.fromiter((numbers.setdefault(c, len(numbers)) for c in group["component"].to_pylist()), np.int64, len(nodes))
-        bins = np.frombuffer(b"".join(group["bins"].to_pylist()), np.uint16).astype(np.int32).reshape(len(nodes), BINS + 2)
-        sizes = bins[:, BINS] + (bins[:, BINS + 1].astype(np.int64) << 16)
+        codes = [np.frombuffer(c, np.uint32) for c in group["codes"].to_pylist()]
+        sizes = np.fromiter(map(len, codes), np.int64, len(nodes))
+        fine = np.array([np.minimum(np.bincount(c % BINS, minlength=BINS), 65535) for c in codes], np.int32)
+        coarse = fine.reshape(len(nodes), -1, COARSE).sum(axis=1)
+        met, place = np.zeros((len(nodes), count), bool), np.zeros((len(nodes), count), np.int64)
+        for i, (b, p) in enumerate(zip(group["bands"].to_pylist(), group["buckets"].to_pylist())):
+            met[i, b], place[i, b] = True, p
+        met, place = met[:, :band], place[:, :band]             # buckets in which a pair is looked at before
         side = group["side"].to_numpy()
-        second = np.flatnonzero(side == 1) if (side == 1).any() else None
-        found: set[tuple[bytes, bytes]] = set()
-        first = np.flatnonzero(side == 0)
+        first, second = np.flatnonzero(side == 0), np.flatnonzero(side == 1) if (side == 1).any() else None
+        shapes: dict[int, Shape] = {}
+        held, found = 0, []
+
+        def shape(i: int) -> Shape:
+            nonlocal held
+            if i not in shapes:
+                if held > HELD_WORDS:
+                    shapes.clear()
+                    held = 0
+                shapes[i] = Shape(codes[i])
+                held += len(codes[i])
+            return shapes[i]
+
         for n, i in enumerate(first):
             others = first[n + 1:] if second is None else second
             total = sizes[i] + sizes[others]
             least = np.ceil(similar * total / (1 + similar) - 1e-9)
-            others, far = others[near := (np.minimum(sizes[i], sizes[others]) >= least) & (inside[others] != inside[i])], (total - 2 * least)[near]
-            apart = np.abs(bins[others, :BINS] - bins[i, :BINS]).sum(axis=1)
-            found.update((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for j in others[apart <= far])
-        return pa.table({"hub": pa.array([a for a, _ in found], pa.binary()), "node": pa.array([b for _, b in found], pa.binary())})
-
-    return rows.groupBy("bucket", "tile").applyInArrow(work, "hub binary, node binary").distinct()
-
-
-def _bins(codes: np.ndarray) -> bytes:
-    """The number of words in each of BINS bins, up to 65535, and of all, in two halves."""
-    counts = np.bincount(codes % BINS, minlength=BINS)
-    return np.r_[np.minimum(counts, 65535), len(codes) & 65535, len(codes) >> 16].astype(np.uint16).tobytes()
+            near = (np.minimum(sizes[i], sizes[others]) >= least) & (inside[others] != inside[i])
+            others, far = others[near], (total - 2 * least)[near]
+            for counts in (coarse, fine):
+                near = np.abs(counts[others] - counts[i]).sum(axis=1) <= far
+                others, far = others[near], far[near]
+            others = others[~((place[others] == place[i]) & met[others] & met[i]).any(axis=1)]
+            if not len(others):
+                continue
+            own_shape = shape(i)
+            for j in others:
+                if inside[j] != inside[i] and similarity(shape(j), own_shape, similar) > 0:
+                    found.append((nodes[i], nodes[j]))
+                    inside[inside == inside[j]] = inside[i]
+            own_shape._places = None
+        return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())})
+
+    return keep(rows.groupBy("bucket", "tile").applyInArrow(work, "a binary, b binary"))
 
 
 def _joined(found: DataFrame, fresh: DataFrame) -> DataFrame:
@@ -365,16 +393,15 @@ def _joined(found: DataFrame, fresh: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, nodes: DataFrame, met: DataFrame) -> DataFrame:
-    """(node, codes, bins): the words' numbers of each node that shares a bucket, from the row that stands for it."""
+    """(node, codes): the words' numbers of each node that shares a bucket, from the row that stands for it."""
     wanted = keep(met.select("node").distinct().join(nodes.select("node", "first.p1", "first.p2"), "node"))
     rows = docs.select(*_pointer(docs["doc_id"], docs["text"]), docs["text"].alias("text"))
     rows = rows.join(broadcast_if(wanted, 64 * wanted.count(), BROADCAST_BYTES), ["p1", "p2"]).select("node", "text")
 
     def work(batch: pa.RecordBatch) -> dict:
-        codes = [_codes(words(t)) for t in batch.column(1).to_pylist()]
-        return {"node": batch.column(0), "codes": [c.tobytes() for c in codes], "bins": [_bins(c) for c in codes]}
+        return {"node": batch.column(0), "codes": [_codes(words(t)).tobytes() for t in batch.column(1).to_pylist()]}
 
-    return keep(map_batches(rows, work, "node binary, codes binary, bins binary").dropDuplicates(["node"]))
+    return keep(map_batches(rows, work, "node binary, codes binary").dropDuplicates(["node"]))
 
 
 def _told(rows: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:

@@ -298,6 +298,29 @@ def test_every_pair_that_shares_a_bucket_is_compared(spark, monkeypatch, small,
         assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want.values()))
 
 
+@pytest.mark.parametrize("tile", [8, 1024])
+def test_links_of_a_large_bucket_are_fewer_than_its_nodes(spark, monkeypatch, tile):
+    """120 copies in two buckets at once, none of them the hub's: links that connect them, not all 7140 pairs."""
+    monkeypatch.setattr(near_dup, "TILE", tile)
+    rng = random.Random(12)
+    base = np.array([rng.randrange(1 << 32) for _ in range(100)], np.uint32)
+    texts = {}
+    for i in range(120):
+        own = base.copy()
+        own[rng.sample(range(100), 2)] = i, 500 + i
+        texts[b"%03d" % i] = own.tobytes()
+    far = rng.sample(range(1 << 32), 100)
+    texts[b"hub"] = np.array(far, np.uint32).tobytes()
+    large = spark.createDataFrame([(n, 100, band, 70 + band, 121, b"hub", 100, n, b"hub") for n in texts for band in (3, 5)],
+                                  "node binary, size long, band int, bucket long, n long, hub binary, hub_size long, component binary, hub_component binary")
+    rows = spark.createDataFrame([(n, c) for n, c in texts.items()], "node binary, codes binary")
+    found = [(bytes(r["a"]), bytes(r["b"])) for r in near_dup._tiled_links(large, rows, 0.8).collect()]
+    cells = 1 if tile > 121 else -(-120 // tile) + 1
+    assert len(found) <= 120 * cells
+    together = components(found, texts)
+    assert len({together[n] for n in texts if n != b"hub"}) == 1 and together[b"hub"] == b"hub"
+
+
 def test_alignment_is_the_longest_common_subsequence():
     rng = random.Random(4)
     for _ in range(600):

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -39,6 +40,7 @@ GRADES = 3             # above 0
 RATE_SCALE = 4.0
 TOXIC_FROM = 0.4       # P(grade >= 1) from which a document is called toxic
 CACHED_WORDS = 200_000
+CELLS = 100_000        # n-grams of documents, about, that a task holds before it hands them on
 
 
 def grams(word: bytes) -> set[str]:
@@ -58,7 +60,7 @@ def damped(own: list[bytes]) -> Counter:
 
 def select(sample: DataFrame, features: int = max(FEATURES), least: int = LEAST_DOCS) -> list[list[str]]:
     """The n-grams that set toxic documents apart most, by likelihood ratio: without each fold in turn, and of all."""
-    def work(batch: pa.RecordBatch) -> dict:
+    def work(batch: pa.RecordBatch) -> Iterator[dict]:
         out: dict[str, list] = {"gram": [], "toxic": [], "fold": [], "weight": []}
         for at, label, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
             own = damped(words(text))
@@ -66,7 +68,10 @@ def select(sample: DataFrame, features: int = max(FEATURES), least: int = LEAST_
             out["weight"] += own.values()
             out["toxic"] += [label > 0] * len(own)
             out["fold"] += [at % FOLDS] * len(own)
-        return out
+            if len(out["gram"]) >= CELLS:
+                yield out
+                out = {name: [] for name in out}
+        yield out
 
     cells = map_batches(sample, work, "gram string, toxic boolean, fold int, weight double")
     toxic, fold = F.col("toxic"), F.col("fold")

@@ -155,3 +155,29 @@ def test_neighbour_votes_against_plain_loops():
         assert abs(score - sum(v * model.labels[i] for v, i in zip(votes, top)) / sum(votes)) < 1e-6
     for size in (1, 7, 60):
         assert (np.concatenate([model.score(asked[at: at + size]) for at in range(0, 60, size)]) == scores).all()
+
+
+def test_ngrams_leave_a_task_in_pieces(monkeypatch):
+    """A task holds n-grams of a few documents at a time, however many documents its batch has."""
+    import pyarrow as pa
+    import pytest
+    from ranklab.llm import toxicity
+    from ranklab.llm.common import words
+
+    given = []
+
+    def stop(df, work, schema):
+        given.append(work)
+        raise RuntimeError
+
+    monkeypatch.setattr(toxicity, "map_batches", stop)
+    monkeypatch.setattr(toxicity, "CELLS", 500, raising=False)
+    with pytest.raises(RuntimeError):
+        toxicity.select(None)
+    texts = [f"some words {i} of text number{i} and others" for i in range(100)]
+    made = given[0](pa.RecordBatch.from_pydict({"at": list(range(100)), "label": [i % 2 for i in range(100)], "text": texts}))
+    pieces = [made] if isinstance(made, dict) else list(made)
+    longest = max(len(toxicity.damped(words(t))) for t in texts)
+    assert max(len(p["gram"]) for p in pieces) < 500 + longest
+    cells = [c for p in pieces for c in zip(p["gram"], p["toxic"], p["fold"], p["weight"])]
+    assert cells == [(g, i % 2 > 0, i % 3, w) for i, t in enumerate(texts) for g, w in toxicity.damped(words(t)).items()]

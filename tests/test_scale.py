@@ -178,6 +178,12 @@ def test_a_bucket_holds_what_a_task_can_score(spark):
     assert store.bucket_count(spark, 0, 0) == spark.sparkContext.defaultParallelism
 
 
+def test_a_bucket_is_as_large_in_a_larger_collection(spark):
+    """From 0.1 GB on a task of a search holds the same number of documents; only the tasks become more."""
+    held = [(n * 51282) / store.bucket_count(spark, n * 103_000_000, n * 51282) for n in (1, 10, 60)]
+    assert max(held) <= 4096 and max(held) < 1.1 * min(held)
+
+
 def test_many_short_documents_have_many_buckets(spark, monkeypatch):
     path = shared_folder(spark)
     monkeypatch.setattr(store, "BUCKET_DOCS", 20, raising=False)

@@ -3,6 +3,7 @@
 import math
 import random
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -217,6 +218,32 @@ def test_several_models_from_one_scan(spark, frames):
         assert sorted(tuple(r)[1:] for r in rows if r["model"] == model) == ranking(sc.run(index, terms, 7, model, 0.3))
 
 
+def test_logarithms_are_taken_before_topics_are_joined(spark, frames):
+    """A posting's ten logarithms are the same for all topics that share its term; nothing is exchanged for that."""
+    docs, topics = frames
+    path = shared_folder(spark)
+    store.create_index(docs, path, buckets=4)
+    plan = sc.score_grid(store.open_index(spark, path), sc.measure_terms(topics))._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("BroadcastHashJoin") < plan.index("LOG1P") and plan.count("Bucketed: true") == 1
+    assert "Exchange" not in plan[:plan.index("BroadcastHashJoin")]
+
+
+def test_documents_behind_the_bounds_go_before_rows_are_opened_up(frames):
+    docs, topics = frames
+    index, terms = ix.build_index(docs), sc.measure_terms(topics)
+    lenient = Compat(lenient_names=True)
+    for k, copies in ((5, 2), (1000, 1)):
+        compat = Compat(copies=copies)
+        grid = lambda i, bounds=None: sc.score_grid(i, terms, compat=compat, bounds=bounds)
+        models = lambda i, bounds=None: sc.score_models(i, terms, ("tfidf", "jm", "x"), 0.3, replace(lenient, copies=copies), bounds)
+        for by, groups, scorer in ((("query_id", "lam"), 10, grid), (("query_id", "model"), 3, models)):
+            some = sc.best_hits(index, terms, k, scorer, by, groups, copies, True, takes_bounds=True)
+            full = sc.top_k(scorer(index), k, by, copies).select(some.columns)
+            assert sorted(map(tuple, some.collect())) == sorted(map(tuple, full.collect()))
+    plan = sc.best_hits(index, terms, 5, scorer, by, groups, 1, True, takes_bounds=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate inline") < plan.index("BroadcastHashJoin [query_id")
+
+
 def test_counting_words_needs_no_shuffle(spark, frames):
     plan = ix.postings(ix.with_row_ids(frames[0]))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan

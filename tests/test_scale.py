@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ranklab import session
 from ranklab.compat import REFERENCE, Compat
+from ranklab.functions import text as tx
 from ranklab.operators import index as ix, scoring as sc
 from ranklab.registry import setup
 from ranklab.session import join_small, shared_folder
@@ -244,6 +245,32 @@ def test_documents_behind_the_bounds_go_before_rows_are_opened_up(frames):
     assert plan.index("Generate inline") < plan.index("BroadcastHashJoin [query_id")
 
 
+def test_words_are_sorted_outside_of_lambda_functions(spark, frames):
+    """Generated code sorts a document's words to store; each text is cut into words once."""
+    plan = store._nested(frames[0], None, 1, 4, "b")._jdf.queryExecution().optimizedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "sort_array(" in line]
+    assert len(sorts) == 1 and "lambda" not in sorts[0] and plan.count("sort_array(") == 1
+    assert plan.count("regexp_extract_all(") == 1
+
+
+def test_stored_words_and_places_equal_a_count_by_hand(spark):
+    texts = ["b a b", "", None, "a", "x x x", "é e É a.b a.b", " ... ", "the " * 50 + "end"]
+    path = shared_folder(spark)
+    store.create_index(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, contents string"), path, buckets=3)
+    words = [[] if t is None else [w for w in t.lower().split() if w != "..."] for t in texts]
+    rows = {r["doc_id"]: r for r in spark.table(store._name(path)).collect()}
+    assert len(rows) == len(texts)
+    for i, ws in enumerate(words):
+        found = {t["term"]: (t["tf"], p) for t, p in zip(rows[i]["terms"] or [], rows[i]["positions"] or [])}
+        places = {w: [j for j, x in enumerate(ws) if x == w] for w in ws}
+        assert rows[i]["dl"] == len(ws) and found == {w: (len(p), p) for w, p in places.items()}
+        assert (rows[i]["terms"] is None) == (not ws) and list(found) == sorted(found, key=str.encode)
+    lists = spark.createDataFrame([(i, ws) for i, ws in enumerate(words)], "i int, words array<string>")
+    runs = lists.select("i", F.inline(tx.term_positions(F.col("words")))).collect()
+    assert sorted((r["i"], r["term"], r["tf"], r["positions"]) for r in runs) == sorted(
+        (i, w, ws.count(w), [j for j, x in enumerate(ws) if x == w]) for i, ws in enumerate(words) for w in set(ws))
+
+
 def test_counting_words_needs_no_shuffle(spark, frames):
     plan = ix.postings(ix.with_row_ids(frames[0]))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan

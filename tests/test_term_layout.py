@@ -9,7 +9,8 @@ from ranklab.compat import Compat
 from ranklab.operators import index as ix, scoring as sc, term_layout as tl
 from ranklab.registry import setup
 from ranklab.registry.queries import REGISTRY
-from ranklab.session import shared_folder
+from ranklab.session import shared_folder, table_name
+from ranklab.sinks import index_store as store
 
 
 @pytest.fixture(scope="module")
@@ -94,3 +95,59 @@ def test_a_task_sorts_a_bounded_share_of_the_postings(spark, parts, monkeypatch)
     n = index.coll_stats.agg(F.sum("n_tokens")).first()[0]
     assert min(asked) >= n * tl.POSTING_BYTES / 2048 > spark.sparkContext.defaultParallelism
     assert tl.open_layout(spark, path, index).postings.count() == layout.postings.count()
+
+
+def test_few_terms_are_named_in_the_scan(parts):
+    index, layout, topics = parts
+    for where, named in (("query_id = 4", True), ("query_id < 9", False), ("query_id = 20", True), ("query_id = 99", True)):
+        some = sc.measured(topics.terms.where(where))
+        best = tl.top_k_by_blocks(layout, some, 5)
+        assert ("In(term, [" in _plan(best) or "EqualTo(term," in _plan(best) or some.n_rows == 0) == named
+        assert rows(best) == rows(sc.best_hits(index, some, 5, lambda part: sc.score(part, some), bounded=False))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_no_posting_leaves_its_bucket(parts, monkeypatch, limit):
+    """Blocks are bounded and documents scored in their bucket; with too many blocks to broadcast, these come to the buckets."""
+    index, layout, topics = parts
+    if limit is not None:
+        monkeypatch.setattr(tl, "BROADCAST_BYTES", limit)
+    best = tl.top_k_by_blocks(layout, topics, 7)
+    plan = _plan(best)
+    exchanged = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert "Bucketed: true" in plan and "SortMergeJoin" not in plan and exchanged
+    assert not any("row_id" in line or "term#" in line for line in exchanged)
+    assert ("ShuffledHashJoin" in plan) == (limit == 0)
+    assert rows(best) == rows(sc.best_hits(index, topics, 7, lambda part: sc.score(part, topics), bounded=False))
+    assert "Exchange" not in _plan(ix.term_stats(layout.postings, "part", "block"))
+
+
+def test_more_topics_than_bits_in_a_word(spark, parts):
+    index, layout, _ = parts
+    topics = sc.measure_terms(spark.createDataFrame([(q * 7 - 300, f"w{q % 80} w{q * 3 % 80} rare") for q in range(150)], "query_id bigint, text string"))
+    assert topics.n_topics > 2 * tl.TOPIC_BITS
+    assert rows(tl.top_k_by_blocks(layout, topics, 3)) == rows(sc.best_hits(index, topics, 3, lambda part: sc.score(part, topics), bounded=False))
+
+
+def test_documents_of_a_stored_index_move_before_they_are_opened_up(spark, monkeypatch):
+    """What moves is a row per document; the layout of a stored index holds its postings, also when it is written and opened again."""
+    path, stored = shared_folder(spark), shared_folder(spark)
+    docs = spark.createDataFrame([(i, f"the w{i % 7} w{i % 3} w{i % 3}, it's 3.5 été") for i in range(300)] + [(300, ""), (301, None)], "doc_id bigint, contents string")
+    store.create_index(docs, stored, buckets=3)
+    index = store.open_index(spark, stored)
+    plan = _plan(tl._by_block(index, F.floor(F.col("row_id") / 16).alias("block"), 5))
+    assert plan.index("Generate inline") < plan.index("Exchange hashpartitioning(block") and plan.count("Exchange hashpartitioning") == 1
+    monkeypatch.setattr(tl, "BUCKET_DOCS", 40)
+    for _ in range(2):
+        tl.write_layout(index, path, folders=4, block_rows=16)
+    layout = tl.open_layout(spark, path, index)
+    assert spark.read.parquet(f"{path}/layout").first()["buckets"] == max(spark.sparkContext.defaultParallelism, 8)
+    want = sorted(map(tuple, index.postings.select("term", "row_id", "tf", "dl").collect()))
+    assert sorted(map(tuple, layout.as_index().postings.collect())) == want and len(want) == 300 * 6 - len([i for i in range(300) if i % 7 == i % 3])
+    for name in ("postings", "blocks"):
+        spark.sql(f"DROP TABLE {table_name(f'{path}/{name}')}")
+    assert sorted(map(tuple, tl.open_layout(spark, path, index).as_index().postings.collect())) == want

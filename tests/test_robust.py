@@ -117,6 +117,32 @@ def test_stored_upsert_equals_a_fresh_index(spark, terms, parts):
     assert statistics(store.open_index(spark, path)) == ([("eye", 1, 1, 1.0), ("lens", 1, 1, 0.5), ("the", 1, 1, 0.5)], (8, 3))
 
 
+def test_an_upsert_moves_no_stored_row(spark, terms, monkeypatch):
+    """Rows that stay are written by the task that reads their bucket, new ones move as texts; both end up in their bucket."""
+    path, plans = shared_folder(spark), []
+    store.create_index(frame(spark, [(i, f"lens eye w{i}") for i in range(60)]), path, buckets=4, parts=2)
+    writer = type(spark.range(1).write)
+    whole = writer.insertInto
+
+    def spied(self, *args, **more):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return whole(self, *args, **more)
+
+    monkeypatch.setattr(writer, "insertInto", spied)
+    new = [(i, f"the new lens w{i}") for i in range(40, 70)] + [(None, "lens")]
+    store.upsert_index(frame(spark, new), path)
+    plan, = plans
+    moved = [line for line in plan.split("\n") if "Exchange" in line]
+    assert moved and "Bucketed: true" in plan and "SortMergeJoin" not in plan[:plan.index("Exchange")]
+    lines = plan.split("\n")
+    sides = [i for i, line in enumerate(lines) if "positions" in line and "FileScan" in line]
+    assert len(sides) == 1 and not any("Exchange hashpartitioning" in line for line in lines[:sides[0]])
+    stored = spark.table(store._name(path))
+    files = stored.select("row_id", F.pmod(F.hash("row_id"), F.lit(4)).alias("bucket"), F.input_file_name().alias("f")).collect()
+    assert len(files) == 71 and all(f"_{r['bucket']:05d}." in r["f"] for r in files)
+    assert found(store.open_index(spark, path), terms) == plain([(i, f"lens eye w{i}") for i in range(40)] + new, "the lens eye")
+
+
 def test_a_failed_upsert_is_mended_by_another(spark, terms, monkeypatch):
     path, new = shared_folder(spark), [(1, "an eye lens"), (9, "the lens")]
     store.create_index(frame(spark, TEXTS), path, parts=2)
